@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 RANGES = 64
+SHARES = [repr(i / RANGES) for i in range(1, RANGES)]
+# Binary search: how many of the RANGES - 1 sorted cuts lie below a value.
+PLACE = "aggregate(array(32, 16, 8, 4, 2, 1), 0, (at, step) -> if(_cuts[at + step - 1] < {0}, at + step, at))"
 
 
 def value_counts(df: DataFrame, column: str, weight: str | None = None) -> DataFrame:
@@ -19,55 +22,56 @@ def value_counts(df: DataFrame, column: str, weight: str | None = None) -> DataF
     return df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(n.alias("n"))
 
 
-def running_totals(hist: DataFrame, order: str, sums: list[str], descending: bool = False) -> DataFrame:
-    """Adds `cum_<name>` for every name in `sums`, accumulated along `order`, which must be unique in `hist`."""
-    shares = [i / RANGES for i in range(1, RANGES)]
-    cuts = hist.agg(F.percentile_approx(order, shares, 10_000)).scalar()
-    ranged = (
-        hist.withColumn("_cuts", cuts)
-        .withColumn("_range", F.size(F.filter("_cuts", lambda cut: cut < F.col(order))))
-        .drop("_cuts")
-    )
+def running_totals(
+    hist: DataFrame, order: str, sums: list[str], descending: bool = False, by: list[str] | None = None
+) -> DataFrame:
+    """Adds `cum_<name>` and `all_<name>` for every name in `sums`.
+
+    Sums accumulate along `order`, which must be unique per `by` group; the groups are few.
+    """
+    by = by or []
+    cuts = hist.agg(F.expr(f"percentile_approx({order}, array({', '.join(SHARES)}), 10000)")).scalar()
+    ranged = hist.withColumn("_cuts", cuts).withColumn("_range", F.expr(PLACE.format(order))).drop("_cuts")
 
     def along(name: str):
         return F.col(name).desc() if descending else F.col(name).asc()
 
-    totals = ranged.groupBy("_range").agg(*[F.sum(name).alias(f"_total_{name}") for name in sums])
-    # At most RANGES rows, so one task accumulates them at once.
-    before = Window.orderBy(along("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy(*by, "_range").agg(*[F.sum(name).alias(f"_total_{name}") for name in sums])
+    # At most RANGES rows per group, so one task accumulates them at once.
+    before = Window.partitionBy(*by).orderBy(along("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    whole = before.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = totals.select(
-        "_range", *[F.coalesce(F.sum(f"_total_{name}").over(before), F.lit(0)).alias(f"_before_{name}") for name in sums]
+        *by,
+        "_range",
+        *[F.coalesce(F.sum(f"_total_{name}").over(before), F.lit(0)).alias(f"_before_{name}") for name in sums],
+        *[F.sum(f"_total_{name}").over(whole).alias(f"all_{name}") for name in sums],
     )
-    within = Window.partitionBy("_range").orderBy(along(order)).rowsBetween(Window.unboundedPreceding, 0)
-    return ranged.join(F.broadcast(offsets), "_range").select(
+    within = Window.partitionBy(*by, "_range").orderBy(along(order)).rowsBetween(Window.unboundedPreceding, 0)
+    return ranged.join(F.broadcast(offsets), [*by, "_range"]).select(
         *hist.columns,
         *[(F.col(f"_before_{name}") + F.sum(name).over(within)).alias(f"cum_{name}") for name in sums],
+        *[f"all_{name}" for name in sums],
     )
 
 
-def quantiles_of_counts(counts: DataFrame, probs: dict[str, float]) -> DataFrame:
-    """One row with an exact, linearly interpolated quantile per entry of `probs`, from a `value`/`n` histogram."""
-    total = counts.agg(F.sum("n")).scalar()
-    ranked = running_totals(counts, "value", ["n"]).withColumn("_total", total)
-
-    def at(rank):
-        return F.max(F.when((F.col("cum_n") - F.col("n") <= rank) & (rank < F.col("cum_n")), F.col("value")))
+def quantiles_of_counts(counts: DataFrame, probs: dict[str, float], by: list[str] | None = None) -> DataFrame:
+    """Exact, linearly interpolated quantiles, one column per entry of `probs`, from a `value`/`n` histogram.
 
+    One row, or one row per `by` group; the groups are few.
+    """
+    by = by or []
+    ranked = running_totals(counts, "value", ["n"], by=by)
     picks = []
     for name, p in probs.items():
-        spot = (F.col("_total") - 1) * F.lit(float(p))
-        picks += [
-            at(F.floor(spot)).alias(f"_lo_{name}"),
-            at(F.ceil(spot)).alias(f"_hi_{name}"),
-            F.max(spot - F.floor(spot)).alias(f"_part_{name}"),
-        ]
-    found = ranked.agg(*picks)
-    return found.select(
-        *[
-            (F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_part_{n}")).alias(n)
-            for n in probs
-        ]
-    )
+        spot = f"((all_n - 1) * {float(p)!r}D)"
+        at = "max(CASE WHEN cum_n - n <= {0} AND {0} < cum_n THEN value END)"
+        picks.append(
+            F.expr(
+                f"{at.format(f'floor({spot})')} + ({at.format(f'ceil({spot})')} - {at.format(f'floor({spot})')})"
+                f" * max({spot} - floor({spot}))"
+            ).alias(name)
+        )
+    return ranked.groupBy(*by).agg(*picks)
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: dict[str, float]) -> DataFrame:

@@ -59,4 +59,4 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
 
 def planned_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate, taken from file sizes; an upper guess for filtered frames."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

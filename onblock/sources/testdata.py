@@ -6,6 +6,7 @@ Every column is a deterministic expression of one `events` or `nation` row, so t
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,22 +141,22 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    @property
+    @cached_property
     def trips(self) -> DataFrame:
         return trips_from_events(self.raw("events"))
 
-    @property
+    @cached_property
     def airports(self) -> DataFrame:
         return airports_from_nations(self.raw("nation"), self.raw("region"))
 
-    @property
+    @cached_property
     def weather(self) -> DataFrame:
         return weather_from_airports(self.airports, self.trips)
 
-    @property
+    @cached_property
     def requests(self) -> DataFrame:
         return requests_from_trips(self.trips)
 
-    @property
+    @cached_property
     def replay(self) -> DataFrame:
         return replay_from_trips(self.trips, self.airports)
