@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+
+
+def half_even(x: str, digits: int = 2) -> str:
+    """Half-even rounding of the decimal value, free of the noise of binary products."""
+    return f"CAST(round_even(CAST({x} AS DECIMAL(18, 9)), {digits}) AS DOUBLE)"
+
+
 CTES = {
     "trips": """
         SELECT event_id AS flight_id, CAST(ts AS DATE) AS flight_date, CAST(month(ts) AS INT) AS month,
@@ -126,10 +133,10 @@ CTES = {
             LEFT JOIN clim c ON c.iata = q.origin AND c.month = q.month
             CROSS JOIN (SELECT {g} FROM clim) g""".format(
         m=", ".join(
-            f"CASE WHEN w.iata IS NOT NULL THEN w.{c} WHEN c.iata IS NOT NULL THEN round_even(round(c.{c}, 9), 2) ELSE g.{c} END AS {c}"
+            f"CASE WHEN w.iata IS NOT NULL THEN w.{c} WHEN c.iata IS NOT NULL THEN {half_even('c.' + c)} ELSE g.{c} END AS {c}"
             for c in ("prcp", "snow", "wspd", "tavg")
         ),
-        g=", ".join(f"round_even(round(avg(round_even(round({c}, 9), 2)), 9), 2) AS {c}" for c in ("prcp", "snow", "wspd", "tavg")),
+        g=", ".join(f"{half_even('avg(' + half_even(c) + ')')} AS {c}" for c in ("prcp", "snow", "wspd", "tavg")),
     ),
     "replay": """
         SELECT t.flight_id, t.flight_date, t.origin AS o, t.dest AS d, t.airline AS al, t.olon AS ox, t.olat AS oy,
@@ -332,7 +339,7 @@ ORACLE = {
     ),
     "climatology_map": sql(
         "clim",
-        "SELECT iata || '_' || month AS key, {} FROM clim".format(", ".join(f"round_even(round({c}, 9), 2) AS {c}" for c in MEASURES)),
+        "SELECT iata || '_' || month AS key, {} FROM clim".format(", ".join(f"{half_even(c)} AS {c}" for c in MEASURES)),
     ),
     "coords_lookup": sql(
         "airports trips",
@@ -440,7 +447,7 @@ ORACLE = {
     ),
     "hourly_dep_rate": sql("hours", "SELECT origin, flight_date, dep_hour, round(dep_rate, 8) AS dep_rate FROM hours WHERE dep_rate IS NOT NULL"),
     "weather_climatology": sql("clim", f"SELECT iata, month, {rounded(MEASURES)} FROM clim"),
-    "climatology_global": sql("clim", "SELECT {} FROM clim".format(", ".join(f"round_even(round(avg(round_even(round({c}, 9), 2)), 9), 2) AS {c}" for c in MEASURES))),
+    "climatology_global": sql("clim", "SELECT {} FROM clim".format(", ".join(f"{half_even('avg(' + half_even(c) + ')')} AS {c}" for c in MEASURES))),
     "route_table": sql("routes", "SELECT * FROM routes"),
     "distinct_airports": sql("weather", "SELECT count(DISTINCT iata) AS n_distinct FROM weather"),
     "scoreboard_at": sql(

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 RANGES = 64
 SHARES = [repr(i / RANGES) for i in range(1, RANGES)]
-# Binary search: how many of the RANGES - 1 sorted cuts lie below a value.
-PLACE = "aggregate(array(32, 16, 8, 4, 2, 1), 0, (at, step) -> if(_cuts[at + step - 1] < {0}, at + step, at))"
+# Binary search: how many of the RANGES - 1 sorted cuts lie below a value. Never null, or a null check would be
+# derived for the join below and travel through the histogram down to the raw rows.
+PLACE = "coalesce(aggregate(array(32, 16, 8, 4, 2, 1), 0, (at, step) -> if(_cuts[at + step - 1] < {0}, at + step, at)), 0)"
 
 
 def value_counts(df: DataFrame, column: str, weight: str | None = None) -> DataFrame:
@@ -30,8 +31,14 @@ def running_totals(
     Sums accumulate along `order`, which must be unique per `by` group; the groups are few.
     """
     by = by or []
-    cuts = hist.agg(F.expr(f"percentile_approx({order}, array({', '.join(SHARES)}), 10000)")).scalar()
-    ranged = hist.withColumn("_cuts", cuts).withColumn("_range", F.expr(PLACE.format(order))).drop("_cuts")
+    cuts = F.expr(f"percentile_approx({order}, array({', '.join(SHARES)}), 10000)").alias("at")
+    overview = hist.agg(F.struct(cuts, *[F.sum(name).alias(name) for name in sums])).scalar()
+    ranged = (
+        hist.withColumn("_all", overview)
+        .withColumn("_cuts", F.col("_all.at"))
+        .withColumn("_range", F.expr(PLACE.format(order)))
+        .drop("_cuts")
+    )
 
     def along(name: str):
         return F.col(name).desc() if descending else F.col(name).asc()
@@ -47,11 +54,17 @@ def running_totals(
         *[F.sum(f"_total_{name}").over(whole).alias(f"all_{name}") for name in sums],
     )
     within = Window.partitionBy(*by, "_range").orderBy(along(order)).rowsBetween(Window.unboundedPreceding, 0)
-    return ranged.join(F.broadcast(offsets), [*by, "_range"]).select(
+    summed = ranged.join(F.broadcast(offsets), [*by, "_range"]).select(
         *hist.columns,
         *[(F.col(f"_before_{name}") + F.sum(name).over(within)).alias(f"cum_{name}") for name in sums],
         *[f"all_{name}" for name in sums],
+        "_all",
     )
+    # Always true. It makes each of the three uses of `hist` read every sum, so that they stay the same plan and Spark
+    # computes the histogram once, whichever sums the caller selects.
+    for name in sums:
+        summed = summed.filter(F.col(f"cum_{name}") <= F.col(f"_all.{name}"))
+    return summed.drop("_all")
 
 
 def quantiles_of_counts(counts: DataFrame, probs: dict[str, float], by: list[str] | None = None) -> DataFrame:
