@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from onblock.functions import clock, geo, labels
-from onblock.operators import encode, explore, features, metrics, profile, sampling, weather
+from onblock.operators import anomaly, encode, explore, features, metrics, profile, sampling, weather
 from onblock.operators.lagging import HeavyGroups
 from onblock.operators.ranks import exact_median
-from onblock.plans import frames, replay, routes, scoring
+from onblock.plans import frames, learn, replay, routes, scoring
 from onblock.sources import ingest
-from onblock.sources.testdata import REFERENCE_DAY, SPLIT_DATE, Tables
+from onblock.sources.testdata import REFERENCE_DAY, SPLIT_DATE, Tables, replay_from_trips
+from onblock.streaming import live
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 
@@ -604,3 +605,158 @@ def _routes(t):
         k=ROUTES_KEPT,
         month=1,
     )
+
+
+# ---- learners, clusters, scoring
+
+# The labels of the generated data carry no signal, so few rounds are enough to exercise the learners.
+BOOST_ROUNDS, MEDIAN_ROUNDS = 5, 4
+_FITTED: dict[tuple, object] = {}
+
+
+def _once(t: Tables, name: str, make):
+    """Fits are shared by the queries of one application and folder."""
+    key = (t.spark.sparkContext.applicationId, t.folder, name)
+    if key not in _FITTED:
+        _FITTED[key] = make()
+    return _FITTED[key]
+
+
+def _booking_split(t):
+    return frames.temporal_split(frames.booking_frame(t.trips, t.weather), SPLIT_DATE)
+
+
+def _dayof_split(t):
+    return frames.temporal_split(frames.dayof_frame(t.trips, t.weather), SPLIT_DATE)
+
+
+def _booking(t):
+    return _once(t, "booking", lambda: learn.fit_booking(_booking_split(t)[0], "flight_id", BOOST_ROUNDS))
+
+
+def _dayof(t):
+    return _once(t, "dayof", lambda: learn.fit_dayof(_dayof_split(t)[0], "flight_id", BOOST_ROUNDS))
+
+
+def _minutes(t):
+    return _once(t, "minutes", lambda: learn.fit_minutes(_booking_split(t)[0], "flight_id", False, MEDIAN_ROUNDS))
+
+
+def _dayof_minutes(t):
+    return _once(t, "dayof_minutes", lambda: learn.fit_minutes(_dayof_split(t)[0], "flight_id", True, MEDIAN_ROUNDS))
+
+
+def _models(t):
+    return learn.Models(_booking(t), _minutes(t), _dayof(t), _dayof_minutes(t))
+
+
+@query
+def logistic_scores(t):
+    train, test = _booking_split(t)
+    model = _once(t, "logistic", lambda: learn.fit_logistic(train))
+    return learn.logistic_scores(model, test.select("flight_id", *frames.ONE_HOT, frames.LABEL)).select(
+        "flight_id", frames.LABEL, F.round("logistic", 6).alias("logistic")
+    )
+
+
+@query
+def gbt_booking(t):
+    return _booking(t).transform(_booking_split(t)[1], "risk").select("flight_id", frames.LABEL, F.bround("risk", 3).alias("risk"))
+
+
+@query
+def gbt_dayof(t):
+    return _dayof(t).transform(_dayof_split(t)[1], "risk").select("flight_id", frames.LABEL, F.bround("risk", 3).alias("risk"))
+
+
+@query
+def gbt_median_minutes(t):
+    scored = _minutes(t).transform(_booking_split(t)[1], "predicted")
+    return scored.select("flight_id", frames.MINUTES, F.round("predicted", 3).alias("predicted"))
+
+
+@query
+def model_comparison(t):
+    train, test = _booking_split(t)
+    table = _once(t, "comparison", lambda: learn.compare_models(train, test, "flight_id", BOOST_ROUNDS)[0])
+    return table
+
+
+def _hubs(t):
+    return profile.hub_profile(t.trips, t.airports, explore.share_of_rows(t.trips, PROFILE_PER_MILLE))
+
+
+@query
+def airport_clusters(t):
+    return profile.cluster_hubs(_hubs(t)).select("iata", "n_flights", "cluster", "name", "lat", "lon")
+
+
+@query
+def cluster_profile(t):
+    return profile.cluster_profile(profile.cluster_hubs(_hubs(t)))
+
+
+@query
+def airport_anomalies(t):
+    z = [f"{c}_z" for c in profile.PROFILE_FEATURES]
+    ready = encode.standardised(_hubs(t), profile.PROFILE_FEATURES)
+    flagged = anomaly.isolation_flags(ready, z, "iata")
+    return flagged.select("iata", F.round("anomaly_score", 6).alias("anomaly_score"), "anomaly")
+
+
+@query
+def route_risk(t):
+    return scoring.route_risk(_routes(t), _booking(t), month=1)
+
+
+@query
+def scored_days(t):
+    return scoring.scored_days(t.trips, t.airports, t.weather, _models(t), ["2024-01-15"])
+
+
+@query
+def score_requests(t):
+    answers = scoring.score_requests(
+        t.requests, _routes(t), t.weather, weather.climatology(_clean(t)), t.airports, _models(t)
+    )
+    return answers.select(
+        "request_id", "proba", "minutes", "mode", "distance", "crs_elapsed", "meteo_source", F.size("factors").alias("n_factors")
+    )
+
+
+# ---- streams
+
+
+def _trip_stream(t):
+    from onblock.sources.testdata import trips_from_events
+
+    return trips_from_events(live.file_stream(t.spark, t.folder, "events.parquet"))
+
+
+def _replay_stream(t):
+    return replay_from_trips(_trip_stream(t), t.airports)
+
+
+@query
+def scoreboard_stream(t):
+    board = live.scoreboard_stream(_replay_stream(t))
+    return board.select(
+        F.date_format("hour_start", "yyyy-MM-dd HH:mm").alias("hour_start"), "landed", r("mean_risk"), r("late_share"), r("within_15_share")
+    )
+
+
+@query
+def landings_stream(t):
+    feed = live.landings_stream(_replay_stream(t))
+    return feed.select("flight_id", "uid", F.date_format("landed_at", "yyyy-MM-dd HH:mm").alias("landed_at"), "real", "delay")
+
+
+@query
+def prev_leg_stream(t):
+    legs = live.DailyLegs(t.spark).run(_trip_stream(t))
+    return legs.select("flight_id", r("prev_arr_delay"), "turnaround")
+
+
+@query
+def state_stream(t):
+    return live.hub_state_stream(_trip_stream(t)).select(*features.HUB_HOUR, r("airport_state"))

@@ -608,3 +608,11 @@ ORACLE = {
             round(avg({_TOLERANT}), 8) AS within_15_share FROM replay GROUP BY ALL""",
     ),
 }
+ORACLE["scoreboard_stream"] = ORACLE["scoreboard_windows"]
+ORACLE["state_stream"] = ORACLE["airport_state"]
+ORACLE["prev_leg_stream"] = sql("legs", "SELECT flight_id, round(prev_arr_delay, 8) AS prev_arr_delay, turnaround FROM legs")
+ORACLE["landings_stream"] = sql(
+    "replay",
+    """SELECT flight_id, concat_ws('_', o, d, dep, al) AS uid,
+        strftime(CAST(flight_date AS TIMESTAMP) + to_minutes(dep + dur), '%Y-%m-%d %H:%M') AS landed_at, real, delay FROM replay""",
+)

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from onblock.runtime import broadcast_if_small, cut_lineage
+from onblock.runtime import cut_lineage
 
 FOLDS = 5
+BROADCAST_ROWS = 500_000
 MOMENTS = ["n", "s", "q"]
 
 
@@ -60,36 +62,31 @@ class TargetEncoding:
         return joined.select("value", "fold", _shrunk(*rest, *rest_total).alias("enc"))
 
     def overall(self) -> Column:
-        row = self.total.agg(F.try_divide(F.sum("s"), F.sum("n")))
-        return row.scalar()
+        return self.total.agg(F.try_divide(F.sum("s"), F.sum("n"))).scalar()
 
-    def materialised(self) -> TargetEncoding:
-        """The same tables behind a checkpoint: they are small and are joined many times."""
-        return TargetEncoding(
-            self.columns, {c: cut_lineage(p) for c, p in self.parts.items()}, cut_lineage(self.total), self.folds
-        )
+    def settled(self) -> SettledEncoding:
+        """All tables computed once, for encodings that are joined many times."""
+        plain = reduce(DataFrame.unionByName, [self.table(c).withColumn("column", F.lit(c)) for c in self.columns])
+        folded = reduce(DataFrame.unionByName, [self.fold_table(c).withColumn("column", F.lit(c)) for c in self.columns])
+        mean = self.total.agg(F.try_divide(F.sum("s"), F.sum("n"))).first()[0]
+        return SettledEncoding.of(self.columns, cut_lineage(plain), cut_lineage(folded), mean, self.folds)
 
-    def transform(self, df: DataFrame, suffix: str = "_enc", sized: bool = False) -> DataFrame:
+    def transform(self, df: DataFrame, suffix: str = "_enc") -> DataFrame:
         """Adds the encoding of every column; categories unseen in training get the overall mean."""
         out = df.withColumn("_overall", self.overall())
         for c in self.columns:
             side = self.table(c).select(F.col("value").alias("_v"), F.col("enc").alias("_e"))
-            side = broadcast_if_small(side) if sized else side
-            out = out.join(side, F.col(c) == F.col("_v"), "left").withColumn(
-                f"{c}{suffix}", F.coalesce("_e", "_overall")
-            )
-            out = out.drop("_v", "_e")
+            out = out.join(side, F.col(c) == F.col("_v"), "left")
+            out = out.withColumn(f"{c}{suffix}", F.coalesce("_e", "_overall")).drop("_v", "_e")
         return out.drop("_overall")
 
-    def transform_training(self, df: DataFrame, key: str, suffix: str = "_enc", sized: bool = False) -> DataFrame:
+    def transform_training(self, df: DataFrame, key: str, suffix: str = "_enc") -> DataFrame:
         """Adds encodings learnt without the row's own fold, for the rows the encoding was fitted on."""
         out = df.withColumn("_fold", fold_of(key, self.folds)).withColumn("_overall", self.overall())
         for c in self.columns:
             side = self.fold_table(c).select(F.col("value").alias("_v"), F.col("fold").alias("_f"), F.col("enc").alias("_e"))
-            side = broadcast_if_small(side) if sized else side
-            match = (F.col(c) == F.col("_v")) & (F.col("_fold") == F.col("_f"))
-            out = out.join(side, match, "left").withColumn(f"{c}{suffix}", F.coalesce("_e", "_overall"))
-            out = out.drop("_v", "_f", "_e")
+            out = out.join(side, (F.col(c) == F.col("_v")) & (F.col("_fold") == F.col("_f")), "left")
+            out = out.withColumn(f"{c}{suffix}", F.coalesce("_e", "_overall")).drop("_v", "_f", "_e")
         return out.drop("_overall", "_fold")
 
     def _with_total(self, df: DataFrame) -> DataFrame:
@@ -97,6 +94,34 @@ class TargetEncoding:
         return df.withColumn("_t", row.scalar())
 
 
+@dataclass(frozen=True)
+class SettledEncoding(TargetEncoding):
+    """An encoding whose tables are stored; small ones are broadcast after they have been counted."""
+
+    plain: DataFrame | None = None
+    mean: float | None = None
+    counts: dict[str, int] | None = None
+
+    @staticmethod
+    def of(columns: list[str], plain: DataFrame, folded: DataFrame | None, mean: float, folds: int) -> SettledEncoding:
+        counts = {row["column"]: row["n"] for row in plain.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+        parts = {} if folded is None else {c: folded.filter(F.col("column") == c).drop("column") for c in columns}
+        return SettledEncoding(columns, parts, plain, folds, plain, mean, counts)
+
+    def _sized(self, df: DataFrame, column: str, times: int = 1) -> DataFrame:
+        small = self.counts.get(column, 0) * times <= BROADCAST_ROWS
+        return F.broadcast(df) if small else df
+
+    def table(self, column: str) -> DataFrame:
+        return self._sized(self.plain.filter(F.col("column") == column).select("value", "enc"), column)
+
+    def fold_table(self, column: str) -> DataFrame:
+        return self._sized(self.parts[column], column, self.folds)
+
+    def overall(self) -> Column:
+        return F.lit(self.mean)
+
+
 def fit_target_encoding(
     train: DataFrame, columns: list[str], label: str, key: str, folds: int = FOLDS
 ) -> TargetEncoding:

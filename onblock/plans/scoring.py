@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# What an unknown route is assumed to be.
+from onblock.functions.labels import MODE_BOOKING, MODE_DAYOF, risk_factors
+from onblock.operators.features import dayof_features
+from onblock.operators.ranks import quantiles_of_counts
+from onblock.operators.weather import MEASURES, MEDIAN_FILLED, _by_name, fill_weather, request_weather, with_weather
+from onblock.plans.frames import day_slice, with_crosses
+from onblock.plans.learn import DelayModel, Models
+from onblock.plans.routes import ROUTE_COLUMNS, ROUTE_MONTH, ROUTE_WEEKDAY, route_features
+
+# What an unknown route is assumed to be, and the day-of situation of a request.
 DISTANCE_DEFAULT, ELAPSED_DEFAULT = 800, 120
+CONGESTION_ASSUMED, TURNAROUND_ASSUMED, STATE_ASSUMED = 20, 50, 0.2
 
 
 def with_route_defaults(requests: DataFrame, routes: DataFrame) -> DataFrame:
@@ -24,3 +33,104 @@ def with_route_defaults(requests: DataFrame, routes: DataFrame) -> DataFrame:
             "crs_elapsed": F.coalesce(F.col("crs_elapsed").cast("double"), "_elapsed", F.lit(float(ELAPSED_DEFAULT))),
         }
     ).drop("_o", "_d", "_distance", "_elapsed")
+
+
+def whole_minutes(minutes: Column | str) -> Column:
+    """Predicted minutes as an integer, half to even."""
+    return F.bround(minutes).cast("int")
+
+
+def score_requests(
+    requests: DataFrame, routes: DataFrame, weather: DataFrame, clim: DataFrame, airports: DataFrame, models: Models
+) -> DataFrame:
+    """Answers to ad-hoc requests, for a table or a stream of them.
+
+    A known delay of the previous leg selects the day-of models, otherwise the booking models answer.
+    """
+    asked = request_weather(with_route_defaults(requests, routes), weather, clim, airports)
+    dayof = F.col("prev_arr_delay").isNotNull()
+    ready = with_crosses(asked).withColumns(
+        {
+            **{c: F.col(f"meteo.{c}") for c in MEASURES},
+            "_prev": F.col("prev_arr_delay"),
+            "prev_arr_delay": F.coalesce("prev_arr_delay", F.lit(0)),
+            "dep_congestion": F.lit(CONGESTION_ASSUMED),
+            "turnaround": F.lit(TURNAROUND_ASSUMED),
+            "airport_state": F.lit(STATE_ASSUMED),
+            "_dayof": dayof,
+        }
+    )
+    scored = models.booking.transform(ready, "_b")
+    scored = models.booking_minutes.transform(scored, "_bm")
+    scored = models.dayof.transform(scored, "_d")
+    scored = models.dayof_minutes.transform(scored, "_dm")
+    pick = lambda day, book: F.when(F.col("_dayof"), F.col(day)).otherwise(F.col(book))
+    return scored.select(
+        "request_id",
+        F.bround(pick("_d", "_b"), 3).alias("proba"),
+        whole_minutes(pick("_dm", "_bm")).alias("minutes"),
+        F.when(F.col("_dayof"), MODE_DAYOF).otherwise(MODE_BOOKING).alias("mode"),
+        "distance",
+        "crs_elapsed",
+        F.struct(*[F.bround(f"meteo.{c}", 1).alias(c) for c in MEASURES]).alias("meteo"),
+        "meteo_source",
+        risk_factors("prcp", "snow", "wspd", "dep_hour", "_prev").alias("factors"),
+    )
+
+
+def route_risk(table: DataFrame, booking: DelayModel, month: int = ROUTE_MONTH, weekday: int = ROUTE_WEEKDAY) -> DataFrame:
+    """The route table with the booking risk of a typical departure, ready for export."""
+    scored = booking.transform(route_features(table, month, weekday), "risk")
+    doubles = [c for c, t in scored.select(*ROUTE_COLUMNS).dtypes if t == "double"]
+    rounded = scored.withColumns({c: F.bround(c, 3) for c in [*doubles, "risk"]})
+    return rounded.select(*ROUTE_COLUMNS, "risk")
+
+
+def daily_medians(day: DataFrame, weather: DataFrame) -> DataFrame:
+    """`_day` and the struct `_mid` of weather medians over the trips of each day; one row per scored day."""
+    loads = day.groupBy("origin", "flight_date").agg(F.count(F.lit(1)).alias("w"))
+    long = with_weather(loads, weather).select("flight_date", "w", F.explode(_by_name(MEDIAN_FILLED)).alias("name", "value"))
+    counts = long.filter("value is not null").groupBy("flight_date", "name", "value").agg(F.sum("w").alias("n"))
+    found = quantiles_of_counts(counts, {"median": 0.5}, by=["flight_date", "name"])
+    mid = F.struct(*[F.max(F.when(F.col("name") == c, F.col("median"))).alias(c) for c in MEDIAN_FILLED])
+    return found.groupBy(F.col("flight_date").alias("_day")).agg(mid.alias("_mid"))
+
+
+def scored_days(
+    trips: DataFrame, airports: DataFrame, weather: DataFrame, models: Models, dates: list[str]
+) -> DataFrame:
+    """All four scores for every completed trip of the given days, in one job.
+
+    The features of a day depend on that day only, so other days are cut off before the windows. Weather gaps take
+    the median of the day.
+    """
+    from onblock.plans.routes import with_endpoints
+
+    wanted = trips.filter(F.col("flight_date").isin(*[F.lit(d).cast("date") for d in dates]))
+    day = with_endpoints(day_slice(dayof_features(wanted), dates), airports)
+    middle = daily_medians(day, weather)
+    enriched = with_weather(day, weather).join(F.broadcast(middle), F.col("flight_date") == F.col("_day"), "left")
+    ready = with_crosses(fill_weather(enriched, F.col("_mid")))
+    scored = models.booking.transform(ready, "_risk")
+    scored = models.booking_minutes.transform(scored, "_minutes")
+    scored = models.dayof.transform(scored, "_drisk")
+    scored = models.dayof_minutes.transform(scored, "_dminutes")
+    return scored.select(
+        "flight_date",
+        F.col("origin").alias("o"),
+        F.col("dest").alias("d"),
+        F.col("airline").alias("al"),
+        F.bround("olon", 2).alias("ox"),
+        F.bround("olat", 2).alias("oy"),
+        F.bround("dlon", 2).alias("dx"),
+        F.bround("dlat", 2).alias("dy"),
+        F.col("dep_min").alias("dep"),
+        F.col("crs_elapsed").alias("dur"),
+        F.bround("_risk", 3).alias("risk"),
+        whole_minutes("_minutes").alias("pdelay"),
+        F.bround("_drisk", 3).alias("drisk"),
+        whole_minutes("_dminutes").alias("dpdelay"),
+        F.col("prev_arr_delay").cast("int").alias("prev"),
+        F.col("arr_del15").alias("real"),
+        F.col("arr_delay").cast("int").alias("delay"),
+    )

@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -49,14 +48,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """Hint a materialised lookup for broadcast when a count proves it small, else leave it to a shuffle join.
-
-    The count runs a job, so this is for tables already behind `cut_lineage`.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def planned_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate, taken from file sizes; an upper guess for filtered frames."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
