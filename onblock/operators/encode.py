@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from onblock.runtime import cut_lineage
@@ -44,6 +43,13 @@ class TargetEncoding:
     total: DataFrame
     folds: int
 
+    @staticmethod
+    def from_cells(columns: list[str], cells: DataFrame, folds: int) -> TargetEncoding:
+        """From label moments per combination of categories and fold."""
+        again = [F.sum(m).alias(m) for m in MOMENTS]
+        parts = {c: cells.groupBy(F.col(c).alias("value"), "fold").agg(*again) for c in columns}
+        return TargetEncoding(columns, parts, cells.groupBy("fold").agg(*again), folds)
+
     def table(self, column: str) -> DataFrame:
         """`value`, `enc`: one row per category seen in training."""
         sums = self.parts[column].groupBy("value").agg(*[F.sum(m).alias(m) for m in MOMENTS])
@@ -64,13 +70,6 @@ class TargetEncoding:
     def overall(self) -> Column:
         return self.total.agg(F.try_divide(F.sum("s"), F.sum("n"))).scalar()
 
-    def settled(self) -> SettledEncoding:
-        """All tables computed once, for encodings that are joined many times."""
-        plain = reduce(DataFrame.unionByName, [self.table(c).withColumn("column", F.lit(c)) for c in self.columns])
-        folded = reduce(DataFrame.unionByName, [self.fold_table(c).withColumn("column", F.lit(c)) for c in self.columns])
-        mean = self.total.agg(F.try_divide(F.sum("s"), F.sum("n"))).first()[0]
-        return SettledEncoding.of(self.columns, cut_lineage(plain), cut_lineage(folded), mean, self.folds)
-
     def transform(self, df: DataFrame, suffix: str = "_enc") -> DataFrame:
         """Adds the encoding of every column; categories unseen in training get the overall mean."""
         out = df.withColumn("_overall", self.overall())
@@ -122,18 +121,50 @@ class SettledEncoding(TargetEncoding):
         return F.lit(self.mean)
 
 
-def fit_target_encoding(
-    train: DataFrame, columns: list[str], label: str, key: str, folds: int = FOLDS
-) -> TargetEncoding:
-    """Sums the label once per combination of categories and fold; every column rolls up from those sums."""
-    cells = (
+def category_cells(train: DataFrame, columns: list[str], label: str, key: str, folds: int = FOLDS) -> DataFrame:
+    """Label moments per combination of all categories and fold; every column rolls up from them."""
+    return (
         train.filter(F.col(label).isNotNull())
         .groupBy(*columns, fold_of(key, folds).alias("fold"))
         .agg(*_moments(F.col(label)))
     )
-    again = [F.sum(m).alias(m) for m in MOMENTS]
-    parts = {c: cells.groupBy(F.col(c).alias("value"), "fold").agg(*again) for c in columns}
-    return TargetEncoding(columns, parts, cells.groupBy("fold").agg(*again), folds)
+
+
+def fit_target_encoding(
+    train: DataFrame, columns: list[str], label: str, key: str, folds: int = FOLDS
+) -> TargetEncoding:
+    """A lazy encoding; it reads the training rows once per query."""
+    return TargetEncoding.from_cells(columns, category_cells(train, columns, label, key, folds), folds)
+
+
+def fit_settled_encoding(
+    train: DataFrame, columns: list[str], label: str, key: str, folds: int = FOLDS
+) -> SettledEncoding:
+    """The encoding behind checkpoints: one pass over the training rows, whatever is joined later."""
+    cells = cut_lineage(category_cells(train, columns, label, key, folds))
+    sums = [F.sum(m).alias(m) for m in MOMENTS]
+    named = F.create_map(*[x for c in columns for x in (F.lit(c), F.col(c).cast("string"))])
+    by_fold = (
+        cells.select("fold", *MOMENTS, F.explode(named).alias("column", "value"))
+        .filter(F.col("value").isNotNull())
+        .groupBy("column", "value", "fold")
+        .agg(*sums)
+    )
+    # One row per fold, so the overall moments and those without a fold are plain numbers.
+    held = {r["fold"]: [float(r[m]) for m in MOMENTS] for r in cells.groupBy("fold").agg(*sums).collect()}
+    overall = [sum(part) for part in zip(*held.values())]
+    rest_overall = [
+        F.element_at(F.create_map(*[x for f, part in held.items() for x in (F.lit(f), F.lit(overall[i] - part[i]))]), F.col("fold"))
+        for i in range(len(MOMENTS))
+    ]
+    value = Window.partitionBy("column", "value")
+    whole = by_fold.withColumns({f"_{m}": F.sum(m).over(value) for m in MOMENTS})
+    rest = [F.col(f"_{m}") - F.col(m) for m in MOMENTS]
+    folded = whole.select("column", "value", "fold", _shrunk(*rest, *rest_overall).alias("enc"))
+    plain = by_fold.groupBy("column", "value").agg(*sums)
+    plain = plain.select("column", "value", _shrunk(*MOMENTS, *[F.lit(x) for x in overall]).alias("enc"))
+    mean = overall[1] / overall[0]
+    return SettledEncoding.of(columns, cut_lineage(plain), cut_lineage(folded), mean, folds)
 
 
 def standardised(df: DataFrame, columns: list[str], suffix: str = "_z") -> DataFrame:

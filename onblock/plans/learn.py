@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from onblock.operators.boosting import MedianBoost, fit_median_boost
-from onblock.operators.encode import SettledEncoding, fit_target_encoding
+from onblock.operators.encode import SettledEncoding, fit_settled_encoding
 from onblock.operators.metrics import binary_metrics
 from onblock.plans.frames import (
     BOOKING_NUMBERS,
@@ -91,14 +91,19 @@ def _vector(df: DataFrame, categories: list[str], numbers: list[str]) -> DataFra
 
 
 def _fit(train: DataFrame, categories: list[str], numbers: list[str], label: str, key: str, learn) -> DelayModel:
-    encoding = fit_target_encoding(train, categories, label, key).settled()
-    encoded = encoding.transform_training(train, key, "_e_")
-    rows = _vector(encoded, categories, numbers).select("features", F.col(label).cast("double").alias(label))
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    # Both the encoding and the encoded rows read the training frame, with its windows and joins behind it.
+    needed = dict.fromkeys([key, *categories, *numbers, label])
+    train = train.select(*needed).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = None
     try:
+        encoding = fit_settled_encoding(train, categories, label, key)
+        encoded = _vector(encoding.transform_training(train, key, "_e_"), categories, numbers)
+        rows = encoded.select("features", F.col(label).cast("double").alias(label)).persist(StorageLevel.MEMORY_AND_DISK)
         return DelayModel(encoding, numbers, learn(rows))
     finally:
-        rows.unpersist()
+        for kept in (rows, train):
+            if kept is not None:
+                kept.unpersist()
 
 
 def _classifier(rows: DataFrame, max_iter: int, step: float, seed: int) -> GBTClassificationModel:
