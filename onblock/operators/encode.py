@@ -36,7 +36,11 @@ def _shrunk(n, s, q, gn, gs, gq) -> Column:
 
 @dataclass(frozen=True)
 class TargetEncoding:
-    """Label moments per category value and fold for each encoded column, and the moments of all rows."""
+    """Label moments per category value and fold for each encoded column, and the moments of all rows.
+
+    A missing value is a category of its own. Keys match null to null, which also keeps null checks from being pushed
+    into the shared roll-up, where they would make every column read the training rows again.
+    """
 
     columns: list[str]
     parts: dict[str, DataFrame]
@@ -61,7 +65,9 @@ class TargetEncoding:
         whole = part.groupBy("value").agg(*[F.sum(m).alias(f"_{m}") for m in MOMENTS])
         by_fold = F.map_from_entries(F.collect_list(F.struct("fold", F.struct(*MOMENTS))))
         held = self.total.agg(by_fold).scalar()
-        joined = self._with_total(part.join(whole, "value")).withColumn("_held", held)
+        whole = whole.withColumnRenamed("value", "_w")
+        joined = part.join(whole, F.col("value").eqNullSafe(F.col("_w")))
+        joined = self._with_total(joined).withColumn("_held", held)
         held_out = F.try_element_at("_held", "fold")
         rest = [F.col(f"_{m}") - F.col(m) for m in MOMENTS]
         rest_total = [F.col(f"_t.{m}") - held_out[m] for m in MOMENTS]
@@ -75,7 +81,7 @@ class TargetEncoding:
         out = df.withColumn("_overall", self.overall())
         for c in self.columns:
             side = self.table(c).select(F.col("value").alias("_v"), F.col("enc").alias("_e"))
-            out = out.join(side, F.col(c) == F.col("_v"), "left")
+            out = out.join(side, F.col(c).eqNullSafe(F.col("_v")), "left")
             out = out.withColumn(f"{c}{suffix}", F.coalesce("_e", "_overall")).drop("_v", "_e")
         return out.drop("_overall")
 
@@ -84,7 +90,7 @@ class TargetEncoding:
         out = df.withColumn("_fold", fold_of(key, self.folds)).withColumn("_overall", self.overall())
         for c in self.columns:
             side = self.fold_table(c).select(F.col("value").alias("_v"), F.col("fold").alias("_f"), F.col("enc").alias("_e"))
-            out = out.join(side, (F.col(c) == F.col("_v")) & (F.col("_fold") == F.col("_f")), "left")
+            out = out.join(side, F.col(c).eqNullSafe(F.col("_v")) & F.col("_fold").eqNullSafe(F.col("_f")), "left")
             out = out.withColumn(f"{c}{suffix}", F.coalesce("_e", "_overall")).drop("_v", "_f", "_e")
         return out.drop("_overall", "_fold")
 
@@ -146,7 +152,6 @@ def fit_settled_encoding(
     named = F.create_map(*[x for c in columns for x in (F.lit(c), F.col(c).cast("string"))])
     by_fold = (
         cells.select("fold", *MOMENTS, F.explode(named).alias("column", "value"))
-        .filter(F.col("value").isNotNull())
         .groupBy("column", "value", "fold")
         .agg(*sums)
     )

@@ -52,6 +52,24 @@ def _cut_points(heavy: DataFrame, order: list[str], rows: int, ranges: int) -> l
     return points[step::step]
 
 
+def _place(points: list, order: list[str], types: dict[str, str]) -> Column:
+    """How many of the sorted cut points are not above a row, by binary search."""
+    cuts = F.array(
+        *[
+            F.struct(*[part for c, v in zip(order, p) for part in (F.lit(v is None), F.lit(v).cast(types[c]))])
+            for p in points
+        ]
+    )
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(points).bit_length()))])
+    here = _position(order)
+
+    def narrow(at: Column, step: Column) -> Column:
+        last = at + step
+        return F.when((last <= len(points)) & (F.try_element_at(cuts, last) <= here), last).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), narrow)
+
+
 def lag_in_group(
     df: DataFrame, by: list[str], order: list[str], carry: dict[str, Column], heavy: HeavyGroups | None = HeavyGroups()
 ) -> DataFrame:
@@ -75,14 +93,7 @@ def lag_in_group(
     rows = sum(n for _, n in found)
     ranges = max(2, min(heavy.max_ranges, rows // max(1, heavy.min_rows)))
     points = _cut_points(df.filter(is_heavy), order, rows, ranges)
-    types = dict(df.dtypes)
-    cuts = F.array(
-        *[
-            F.struct(*[part for c, v in zip(order, p) for part in (F.lit(v is None), F.lit(v).cast(types[c]))])
-            for p in points
-        ]
-    )
-    place = F.size(F.filter(cuts, lambda cut: cut <= _position(order))) if points else F.lit(0)
+    place = _place(points, order, dict(df.dtypes)) if points else F.lit(0)
     ranged = df.withColumn("_range", F.when(is_heavy, place).otherwise(F.lit(0))).withColumn("_seen", seen)
 
     last_of_range = ranged.filter(is_heavy).groupBy(*by, "_range").agg(F.max_by("_seen", _position(order)).alias("_seen"))

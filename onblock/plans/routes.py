@@ -23,16 +23,23 @@ def with_endpoints(df: DataFrame, airports: DataFrame) -> DataFrame:
 def route_rollup(trips: DataFrame, min_trips: int | Column = 800) -> DataFrame:
     """Trips, rounded means, median hour and most frequent carrier per busy route.
 
-    Median and mode work on hours and carriers, so their partial results stay small and combine before the shuffle.
+    Plain sums per route, carrier and hour combine before the shuffle; median and mode then read those few cells.
     """
-    rolled = completed(trips).groupBy("origin", "dest").agg(
+    route = ["origin", "dest"]
+    cells = completed(trips).groupBy(*route, "airline", "dep_hour").agg(
         F.count(F.lit(1)).alias("n"),
-        F.round(F.avg("distance")).alias("distance"),
-        F.round(F.avg("crs_elapsed")).alias("crs_elapsed"),
-        F.bround(F.median("dep_hour")).cast("int").alias("dep_hour"),
-        F.mode("airline", True).alias("airline"),
+        *[f(c).alias(f"{k}_{c}") for c in ("distance", "crs_elapsed") for k, f in (("s", F.sum), ("n", F.count))],
     )
-    return rolled.filter(F.col("n") > min_trips)
+    totals = cells.groupBy(*route).agg(
+        F.sum("n").alias("n"),
+        *[F.round(F.try_divide(F.sum(f"s_{c}"), F.sum(f"n_{c}"))).alias(c) for c in ("distance", "crs_elapsed")],
+        F.bround(F.percentile("dep_hour", 0.5, F.col("n"))).cast("int").alias("dep_hour"),
+    )
+    shares = cells.groupBy(*route, "airline").agg(F.sum("n").alias("m"))
+    carriers = shares.groupBy(*route).agg(
+        F.min_by("airline", F.struct(F.col("airline").isNull(), -F.col("m"), "airline")).alias("airline")
+    )
+    return totals.filter(F.col("n") > min_trips).join(carriers, route)
 
 
 def route_table(
