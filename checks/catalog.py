@@ -479,14 +479,14 @@ def hash_sample_before_filter(t):
 @query
 def target_encoding(t):
     train, test = frames.temporal_split(frames.with_crosses(frames.model_ready(t.trips)), SPLIT_DATE)
-    fitted = encode.fit_target_encoding(train, frames.CATEGORIES, "arr_del15", "flight_id")
+    fitted = encode.fit_settled_encoding(train, frames.CATEGORIES, "arr_del15", "flight_id")
     return fitted.transform(test).select("flight_id", *[r(f"{c}_enc") for c in frames.CATEGORIES])
 
 
 @query
 def target_encoding_crossfit(t):
     train, _ = frames.temporal_split(frames.with_crosses(frames.model_ready(t.trips)), SPLIT_DATE)
-    fitted = encode.fit_target_encoding(train, frames.CATEGORIES, "arr_del15", "flight_id")
+    fitted = encode.fit_settled_encoding(train, frames.CATEGORIES, "arr_del15", "flight_id")
     return fitted.transform_training(train, "flight_id").select("flight_id", *[r(f"{c}_enc") for c in frames.CATEGORIES])
 
 
@@ -499,7 +499,7 @@ def standardised_profile(t):
 def _scored(t):
     """Test rows scored with the encoding of their origin hour; scores tie often on purpose."""
     train, test = frames.temporal_split(frames.with_crosses(frames.model_ready(t.trips)), SPLIT_DATE)
-    fitted = encode.fit_target_encoding(train, ["orig_hour"], "arr_del15", "flight_id")
+    fitted = encode.fit_settled_encoding(train, ["orig_hour"], "arr_del15", "flight_id")
     scored = fitted.transform(test).withColumn("score", F.round("orig_hour_enc", 6))
     return train, scored.select("flight_id", "arr_del15", "arr_delay", "score")
 

@@ -74,7 +74,8 @@ class TargetEncoding:
         return joined.select("value", "fold", _shrunk(*rest, *rest_total).alias("enc"))
 
     def overall(self) -> Column:
-        return self.total.agg(F.try_divide(F.sum("s"), F.sum("n"))).scalar()
+        sums = self._sums()
+        return F.try_divide(sums["s"], sums["n"])
 
     def transform(self, df: DataFrame, suffix: str = "_enc") -> DataFrame:
         """Adds the encoding of every column; categories unseen in training get the overall mean."""
@@ -94,9 +95,12 @@ class TargetEncoding:
             out = out.withColumn(f"{c}{suffix}", F.coalesce("_e", "_overall")).drop("_v", "_f", "_e")
         return out.drop("_overall", "_fold")
 
+    def _sums(self) -> Column:
+        """All moments in one subquery, so that every use of it is the same plan."""
+        return self.total.agg(F.struct(*[F.sum(m).alias(m) for m in MOMENTS])).scalar()
+
     def _with_total(self, df: DataFrame) -> DataFrame:
-        row = self.total.agg(F.struct(*[F.sum(m).alias(m) for m in MOMENTS]))
-        return df.withColumn("_t", row.scalar())
+        return df.withColumn("_t", self._sums())
 
 
 @dataclass(frozen=True)

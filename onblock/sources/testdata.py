@@ -17,7 +17,7 @@ REFERENCE_DAY = 15
 
 def _k() -> Column:
     """The number in `{"k": n}`. Filters repeat this expression per condition, so it avoids a JSON parse."""
-    return F.translate("props", '{"k: }', "").cast("int")
+    return F.expr("cast(rtrim('}', substr(props, 7)) as int)")
 
 
 def trips_from_events(events: DataFrame) -> DataFrame:
