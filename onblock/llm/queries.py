@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from onblock.llm.sharding import shard
+from onblock.llm.simhash import as_hex, fingerprint, near_duplicates
+from onblock.llm.tables import settle
 from onblock.llm.urls import url_verdicts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +31,12 @@ def op5_histogram_sort_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharded.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+@query
+def op7_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", fingerprint(F.col("text")).alias("fp"))
+    return near_duplicates(settle(docs, "fps")).select("doc_id", as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
