@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from onblock.llm.bpe import decode, encode, read_tokenizer
 from onblock.llm.sharding import shard
 from onblock.llm.simhash import as_hex, fingerprint, near_duplicates
 from onblock.llm.tables import settle
@@ -25,6 +26,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op2_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    spec = read_tokenizer(tokenizer_file())
+    encoded = table(spark, folder, "documents").select("doc_id", encode(F.col("text"), spec).alias("ids"))
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(decode(F.col("ids"), spec), 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op5_histogram_sort_shards(spark: SparkSession, folder: str) -> DataFrame:
     sharded = shard(table(spark, folder, "documents"), shards=24)
