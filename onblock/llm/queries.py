@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from onblock.llm.bpe import decode, encode, read_tokenizer
+from onblock.llm.html import extract
 from onblock.llm.sharding import shard
 from onblock.llm.simhash import as_hex, fingerprint, near_duplicates
 from onblock.llm.tables import settle
@@ -82,3 +83,9 @@ FROM (
     FROM rules WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)) AS hit
   FROM parts)
 """
+
+
+@query
+def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", extract(F.col("html")).alias("text"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
