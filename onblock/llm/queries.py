@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from onblock.llm.bpe import decode, encode, read_tokenizer
 from onblock.llm.html import extract
+from onblock.llm.labelled import fold
+from onblock.llm.quality import fit_quality, score
 from onblock.llm.sharding import shard
 from onblock.llm.simhash import as_hex, fingerprint, near_duplicates
 from onblock.llm.tables import settle
@@ -89,3 +91,12 @@ FROM (
 def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url", extract(F.col("html")).alias("text"))
     return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op10_quality_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = fit_quality(docs, labels)
+    held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    scored = docs.select("doc_id", held_out.alias("held_out"), score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
