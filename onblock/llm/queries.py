@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from onblock.llm import toxicity
 from onblock.llm.bpe import decode, encode, read_tokenizer
 from onblock.llm.html import extract
 from onblock.llm.labelled import fold
@@ -100,3 +101,12 @@ def op10_quality_scores(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
     scored = docs.select("doc_id", held_out.alias("held_out"), score(F.col("text"), model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@query
+def op3_toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = toxicity.fit_toxicity(docs, labels)
+    held_out = F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False))
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
