@@ -12,6 +12,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +25,13 @@ from onblock.llm.tables import settle, ship
 
 FIT_ROWS = 60_000
 CANDIDATES = 4_000
-LEXICON = 56
-STEMS = (4, 5, 6)
+LEXICON = 240
+STEMS = (4, 5, 6, 7, 8)
+THIN = 80
 MOST_CLEAN = 0.1
-ROUNDS = 30
+ROUNDS = 10
+SURE = 3.3
+LABEL_ACCURACY = 0.97
 COUNTED_AT_ONCE = 500_000
 WORDS = re.compile(r"[^\W\d_]+")
 
@@ -78,7 +82,8 @@ def learn_lexicon(sample: DataFrame) -> list[str]:
     """Up to LEXICON words and stems that mark toxic documents, best first.
 
     sample: text, label. Candidates are the CANDIDATES signs that most toxic documents hold; their clean documents are counted next.
-    A sign is kept if it is mostly found in toxic documents; a longer form whose documents a kept stem explains is left out.
+    A sign is kept if its share of toxic documents is MOST_CLEAN times that of the others by SURE standard errors; a longer form of a kept stem is left out, and so is a stem that is found as
+    often as a kept word that it begins.
     """
 
     def counts(rows: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
@@ -93,36 +98,48 @@ def learn_lexicon(sample: DataFrame) -> list[str]:
     often = counts(sample.filter("label = 1"), None).filter(F.col("toxic") >= least)
     candidates = frozenset(row["sign"] for row in often.orderBy(F.desc("toxic"), "sign").limit(CANDIDATES).collect())
     rows = counts(sample, candidates).collect()
-    kept: list[tuple[str, int]] = []
+    kept: list[tuple[str, int, int]] = []
     share = lambda row: (row["clean"] + 0.5) / (clean + 1) / ((row["toxic"] + 0.5) / (toxic + 1))
     for row in sorted(rows, key=lambda row: (-row["toxic"] * max(0.0, 1 - share(row) / MOST_CLEAN), len(row["sign"]), row["sign"])):
-        explained = any(stem.endswith("-") and row["sign"].rstrip("-").startswith(stem[:-1]) for stem, _ in kept)
-        if share(row) <= MOST_CLEAN and row["toxic"] >= least and not explained:
-            kept.append((row["sign"], row["toxic"]))
+        bare = row["sign"].rstrip("-")
+        longer = any(sign.endswith("-") and bare.startswith(sign[:-1]) for sign, *_ in kept)
+        explained = longer or any(sign.startswith(bare) and counts == [row["toxic"], row["clean"]] for sign, *counts in kept)
+        error = (1 / (row["toxic"] + 0.5) + 1 / (row["clean"] + 0.5)) ** 0.5
+        if share(row) <= MOST_CLEAN and -log(share(row)) >= SURE * error and row["toxic"] >= least and not explained:
+            kept.append((row["sign"], row["toxic"], row["clean"]))
         if len(kept) == LEXICON:
             break
-    return [sign for sign, _ in kept]
+    return [sign for sign, *_ in kept]
 
 
 @dataclass(frozen=True)
 class Voters:
-    """Names the votes of a text: a bit for each lexicon entry, each pattern, and whether a second lexicon entry or none was found."""
+    """The votes of a text: one for each lexicon entry, then for a seed word, for one, two and more than three entries, for few
+    entries among many words, for none, and for each pattern."""
 
     lexicon: tuple[str, ...]
 
-    def votes(self, text: str) -> int:
+    def votes(self, text: str) -> bytes:
         words = set(WORDS.findall(text.lower()))
         at = {sign: i for i, sign in enumerate(self.lexicon)}
         found = {at[w] for w in words & at.keys()}
         for n in {len(sign) - 1 for sign in self.lexicon if sign.endswith("-")}:
             found |= {at[stem] for stem in {f"{w[:n]}-" for w in words if len(w) > n} & at.keys()}
-        size = len(self.lexicon)
         seeds = not words.isdisjoint(SEED_WORDS)
-        more = [seeds, len(found) > 1, not found and not seeds, *(rule(text, words) for rule in PATTERNS.values())]
-        return sum(1 << i for i in found) | sum(1 << (size + i) for i, fires in enumerate(more) if fires)
+        few = bool(found) and len(words) > THIN * len(found)
+        more = [seeds, len(found) == 1, len(found) == 2, len(found) > 3, few, not found and not seeds, *(rule(text, words) for rule in PATTERNS.values())]
+        fired = np.zeros(self.width(), np.bool_)
+        fired[list(found)] = True
+        fired[len(self.lexicon) :] = more
+        return np.packbits(fired).tobytes()
 
     def width(self) -> int:
-        return len(self.lexicon) + 3 + len(PATTERNS)
+        return len(self.lexicon) + 6 + len(PATTERNS)
+
+    def matrix(self, votes: list[bytes]) -> np.ndarray:
+        """A row of zeros and ones per vote pattern."""
+        packed = np.frombuffer(b"".join(votes), np.uint8).reshape(len(votes), -1)
+        return np.unpackbits(packed, axis=1, count=self.width()).astype(np.float64)
 
 
 @dataclass(frozen=True)
@@ -132,23 +149,20 @@ class Model:
     bias: float
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        votes = _bits(np.array([self.voters.votes(t) for t in texts], np.int64), self.voters.width())
+        votes = self.voters.matrix([self.voters.votes(t) for t in texts])
         return 1 / (1 + np.exp(-(votes @ self.weights + self.bias)))
 
 
-def _bits(votes: np.ndarray, width: int) -> np.ndarray:
-    return (votes[:, None] >> np.arange(width) & 1).astype(np.float64)
-
-
-def label_model(votes: np.ndarray, n: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+def label_model(votes: np.ndarray, n: np.ndarray, label: np.ndarray) -> np.ndarray:
     """Posterior of the toxic class for each vote pattern.
 
-    votes: one row of zeros and ones per pattern; n: its documents; toxic: how many of them are labelled so, which starts the
-    estimate. Firing rates of both classes and the prior are re-estimated from the posteriors; the weight of a voter is divided by one plus its
-    summed positive correlations with the other voters within the classes.
+    votes: one row of zeros and ones per pattern; n: its documents; label: what they are labelled, one more voter of known accuracy,
+    which starts the estimate. Firing rates of both classes and the prior are re-estimated from the posteriors; the weight of a voter is divided by
+    its summed positive correlations, its own included, with all voters within the classes.
     """
     total = n.sum()
-    posterior = (toxic + 0.5 * toxic.sum() / total) / (n + 0.5)
+    labelled = np.where(label > 0, 1, -1) * np.log(LABEL_ACCURACY / (1 - LABEL_ACCURACY))
+    posterior = np.where(label > 0, LABEL_ACCURACY, 1 - LABEL_ACCURACY)
     for _ in range(ROUNDS):
         prior = (n @ posterior) / total
         logs = []
@@ -162,7 +176,7 @@ def label_model(votes: np.ndarray, n: np.ndarray, toxic: np.ndarray) -> np.ndarr
             logs.append((np.log(rate), np.log1p(-rate)))
         (fires1, silent1), (fires0, silent0) = logs
         evidence = votes * (fires1 - fires0) / shared + (1 - votes) * (silent1 - silent0) / shared
-        odds = np.log(max(prior, 1e-9)) - np.log(max(1 - prior, 1e-9)) + evidence.sum(axis=1)
+        odds = np.log(max(prior, 1e-9)) - np.log(max(1 - prior, 1e-9)) + evidence.sum(axis=1) + labelled
         posterior = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
     return posterior
 
@@ -192,15 +206,14 @@ def fit(sample: DataFrame) -> Model | None:
         return None
     voters = Voters(tuple(learn_lexicon(rows)))
 
-    @F.arrow_udf(T.LongType())
+    @F.arrow_udf(T.BinaryType())
     def votes_of(texts: pa.Array) -> pa.Array:
-        return pa.array([voters.votes(t) for t in texts.to_pylist()], pa.int64())
+        return pa.array([voters.votes(t) for t in texts.to_pylist()], pa.binary())
 
-    patterns = rows.select("label", votes_of("text").alias("votes")).groupBy("votes").agg(F.count("*"), F.sum("label")).collect()
-    masks, n, toxic = (np.array(column) for column in zip(*patterns, strict=True))
-    votes = _bits(masks.astype(np.int64), voters.width())
-    posterior = label_model(votes, n.astype(np.float64), toxic.astype(np.float64))
-    return Model(voters, *linear_classifier(votes, n.astype(np.float64), posterior))
+    patterns = rows.groupBy(votes_of("text").alias("votes"), "label").agg(F.count("*")).collect()
+    packed, label, n = zip(*patterns, strict=True)
+    votes, label, n = voters.matrix([bytes(p) for p in packed]), np.array(label, np.float64), np.array(n, np.float64)
+    return Model(voters, *linear_classifier(votes, n, label_model(votes, n, label)))
 
 
 def score(text: Column, model: Model | None) -> Column:
