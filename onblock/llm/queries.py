@@ -12,6 +12,7 @@ from onblock.llm.bpe import decode, encode, read_tokenizer
 from onblock.llm.html import extract
 from onblock.llm.labelled import fold
 from onblock.llm.quality import fit_quality, score
+from onblock.llm.rules import judge
 from onblock.llm.sharding import shard
 from onblock.llm.simhash import as_hex, fingerprint, near_duplicates
 from onblock.llm.tables import settle
@@ -60,6 +61,12 @@ def op7_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(settle(docs, "fps")).select("doc_id", as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = judge(table(spark, folder, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
