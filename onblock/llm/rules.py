@@ -1,7 +1,7 @@
 """Quality rules by weak supervision: rules vote or abstain, expectation-maximisation weighs them, a posterior decides.
 
 Everything is a column expression or an aggregate. Texts are read once for their signals; the estimate works on the counts of vote patterns,
-of which there are at most 3 ** len(RULES), whatever the size of the corpus.
+of which there are at most 2 ** 7 * 3 ** 4, whatever the size of the corpus.
 """
 
 from __future__ import annotations
@@ -22,39 +22,40 @@ MOST_REPEATED = 50
 KEEP_FROM = 0.5
 ROUNDS = 25
 SETTLED = 1e-4
+HELD = 0.05
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-SIGNALS = [*BASE, "n_chars", "n_lines", "n_capitals", "n_calls", "n_stops", "n_distinct"]
+SIGNALS = [*BASE, "n_chars", "n_lines", "n_letters", "n_capitals", "n_calls", "n_stops", "n_runs", "n_long_runs", "n_distinct"]
 
 
-def _vote(measure: Column, good: Column, bad: Column) -> Column:
-    """1 for good, -1 for bad, 0 where the rule has no opinion or cannot measure."""
-    return F.when(measure.isNull(), 0).when(bad, -1).when(good, 1).otherwise(0)
-
-
-def _between(measure: Column, low: float, high: float) -> Column:
-    return (measure >= low) & (measure <= high)
+def _vote(bad: Column, good: Column | None = None) -> Column:
+    """-1 for bad, 1 for good, 0 where the rule has no opinion or cannot measure; a rule without `good` only ever objects."""
+    said = F.when(bad, -1)
+    return (said if good is None else said.when(good, 1)).otherwise(0)
 
 
 def _rules() -> dict[str, Column]:
-    """Votes over the signals; shares are per word or per line and null for texts without any."""
-    words = F.nullif(F.col("n_words"), F.lit(0))
-    share = lambda name: F.col(name) / words
-    line_share = F.col("n_dup_lines") / F.nullif(F.col("n_lines"), F.lit(0))
-    capitals = F.col("n_capitals") / F.nullif(F.col("word_chars"), F.lit(0))
-    length, distinct = share("word_chars"), F.log1p("n_distinct") / F.nullif(F.log1p("n_words"), F.lit(0.0))
+    """Votes over the signals; shares are per word, per line or per character, and null where there are none."""
+    per = lambda name, whole: F.col(name) / F.nullif(F.col(whole), F.lit(0))
+    per_word = lambda name: per(name, "n_words")
+    letters, length, stops = per("n_letters", "word_chars"), per_word("word_chars"), per_word("n_stops")
+    vocabulary = F.log1p("n_distinct") / F.nullif(F.log1p("n_words"), F.lit(0.0))
     return {
-        "symbols": _vote(share("n_symbols"), share("n_symbols") < 0.05, share("n_symbols") > 0.25),
-        "lines": _vote(line_share, line_share < 0.1, line_share > 0.4),
-        "repeats": _vote(share("n_repeat_words"), share("n_repeat_words") < 0.15, share("n_repeat_words") > 0.4),
-        "capitals": _vote(capitals, capitals < 0.12, capitals > 0.4),
-        "calls": _vote(share("n_calls"), share("n_calls") < 0.03, share("n_calls") > 0.2),
-        "sentences": _vote(share("n_stops"), _between(share("n_stops"), 0.02, 0.4), share("n_stops") < 0.005),
-        "word_length": _vote(length, _between(length, 2.5, 9.5), (length < 2) | (length > 14)),
-        "vocabulary": _vote(distinct, distinct > 0.7, distinct < 0.5),
+        "symbols": _vote(per_word("n_symbols") > 0.25),
+        "runs": _vote(per_word("n_runs") > 0.2),
+        "long_runs": _vote(per_word("n_long_runs") > 0.1),
+        "lines": _vote(per("n_dup_lines", "n_lines") > 0.5),
+        "repeats": _vote(per_word("n_repeat_words") > 0.4),
+        "capitals": _vote(per("n_capitals", "word_chars") > 0.4),
+        "calls": _vote(per_word("n_calls") > 0.2),
+        "letters": _vote(letters < 0.8, letters > 0.93),
+        "sentences": _vote(stops < 0.005, stops.between(0.02, 0.4)),
+        "word_length": _vote((length < 2) | (length > 14), length.between(2.5, 7.5)),
+        "vocabulary": _vote(vocabulary < 0.5, vocabulary > 0.7),
     }
 
 
-RULES = list("symbols lines repeats capitals calls sentences word_length vocabulary".split())
+RULES = list("symbols runs long_runs lines repeats capitals calls letters sentences word_length vocabulary".split())
+ONLY_OBJECT = set(RULES[:7])
 
 
 def _repeated_words(words: DataFrame) -> DataFrame:
@@ -94,6 +95,9 @@ def with_signals(docs: DataFrame, text: str = "text") -> DataFrame:
     lines = F.filter(F.split(content, "\n", -1), lambda line: line.rlike(f"[^{SPACE}]"))
     plain = {
         "n_symbols": count(SYMBOLS),
+        "n_runs": F.regexp_count(content, F.lit(f"[{SYMBOLS}]++")).cast("long"),
+        "n_long_runs": F.regexp_count(content, F.lit(f"[{SYMBOLS}]{{3,}}+|[!?]{{2,}}+")).cast("long"),
+        "n_letters": count(r"A-Za-z\u0080-\uFFFF"),
         "n_capitals": count("A-Z"),
         "n_calls": count("!?"),
         "n_stops": count(".,;:"),
@@ -136,22 +140,29 @@ def _posterior(prior: float, rates: Rates) -> Column:
 def estimate(votes: DataFrame) -> tuple[float, Rates]:
     """Prior of good quality and, by rule and vote, how often good and bad documents get that vote.
 
-    votes: the columns named in RULES. The start takes every rule for right nine times in ten. A round is one aggregate over the pattern
-    counts that returns a single row. Without rows the start is returned.
+    votes: the columns named in RULES. The start is what rules are written for, and it stays in the estimate as HELD of the documents,
+    so that a rule that stands alone is not outvoted by many that have no opinion on its kind of trouble. A round is one aggregate over the
+    pattern counts that returns a single row. Without rows the start is returned.
     """
     prior = 0.8
-    rates: Rates = {rule: {1: (0.85, 0.1), 0: (0.1, 0.2), -1: (0.05, 0.7)} for rule in RULES}
+    start: Rates = {rule: {0: (0.98, 0.5), -1: (0.02, 0.5)} if rule in ONLY_OBJECT else {1: (0.85, 0.4), 0: (0.13, 0.3), -1: (0.02, 0.3)} for rule in RULES}
+    rates = start
     patterns = settle(votes.groupBy(*RULES).agg(F.count("*").alias("n")), "votes").coalesce(1).cache()
     for _ in range(ROUNDS):
         p = patterns.withColumn("good", F.col("n") * _posterior(prior, rates)).withColumn("bad", F.col("n") - F.col("good"))
-        sums = [F.sum(F.when(F.col(rule) == v, F.col(side))).alias(f"{rule}_{v}_{side}") for rule in RULES for v in (1, 0, -1) for side in ("good", "bad")]
+        cells = [(rule, v) for rule in RULES for v in start[rule]]
+        sums = [F.sum(F.when(F.col(rule) == v, F.col(side))).alias(f"{rule}_{v}_{side}") for rule, v in cells for side in ("good", "bad")]
         row = p.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"), *sums).first()
         if not row["good"] or not row["bad"]:
             break
-        rate = lambda rule, v, side: ((row[f"{rule}_{v}_{side}"] or 0.0) + 0.5) / (row[side] + 1.5)  # noqa: B023, E731
-        new = {rule: {v: (rate(rule, v, "good"), rate(rule, v, "bad")) for v in (1, 0, -1)} for rule in RULES}
-        moved = max(abs(new[rule][v][i] - rates[rule][v][i]) for rule in RULES for v in (1, 0, -1) for i in (0, 1))
-        prior, rates = min(max(row["good"] / (row["good"] + row["bad"]), 1e-4), 1 - 1e-4), new
+        held = HELD * (row["good"] + row["bad"])
+        new: Rates = {rule: {} for rule in RULES}
+        for rule, v in cells:
+            counts = [row[f"{rule}_{v}_{side}"] or 0.0 for side in ("good", "bad")]
+            wholes = [row["good"], row["bad"]]
+            new[rule][v] = tuple((c + held * first) / (w + held) for c, w, first in zip(counts, wholes, start[rule][v], strict=True))
+        moved = max(abs(a - b) for rule, v in cells for a, b in zip(new[rule][v], rates[rule][v], strict=True))
+        prior, rates = min(max(row["good"] / (row["good"] + row["bad"]), 0.01), 0.99), new
         if moved < SETTLED:
             break
     patterns.unpersist()
