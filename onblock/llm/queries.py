@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from onblock.llm import toxicity
 from onblock.llm.bpe import decode, encode, read_tokenizer
+from onblock.llm.decontamination import contaminated
 from onblock.llm.html import extract
 from onblock.llm.labelled import fold
 from onblock.llm.quality import fit_quality, score
@@ -49,6 +50,11 @@ def op2_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op4_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def op5_histogram_sort_shards(spark: SparkSession, folder: str) -> DataFrame:
     sharded = shard(table(spark, folder, "documents"), shards=24)
