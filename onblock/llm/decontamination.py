@@ -48,20 +48,23 @@ def word_hash(word: str) -> int:
     return xxhash.xxh64_intdigest(word.encode(), 1)
 
 
-def shingles(words: np.ndarray) -> np.ndarray:
-    """Hashes of the runs of SHINGLE word hashes; a shorter sequence is one shingle."""
-    size = min(SHINGLE, len(words))
-    total = np.zeros(max(len(words) - size + 1, 0), np.uint64)
-    if not size:
-        return total
+def shingles(columns: list[np.ndarray]) -> np.ndarray:
+    """Hashes of word runs; columns[i] holds the hash of the i-th word of every run."""
+    total = np.zeros_like(columns[0])
     with np.errstate(over="ignore"):
-        for i in range(size):
-            total = (total ^ words[i : len(words) - size + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
+        for column in columns:
+            total = (total ^ column) * np.uint64(0x9E3779B97F4A7C15)
             total ^= total >> np.uint64(29)
-        total = (total ^ np.uint64(size)) * np.uint64(0xBF58476D1CE4E5B9)
+        total = (total ^ np.uint64(len(columns))) * np.uint64(0xBF58476D1CE4E5B9)
     return total ^ (total >> np.uint64(32))
 
 
+def all_shingles(words: np.ndarray) -> np.ndarray:
+    """The runs of SHINGLE words of a sequence; a shorter sequence is one shingle."""
+    size = min(SHINGLE, len(words))
+    return shingles([words[i : len(words) - size + 1 + i] for i in range(size)])
+
+
 def running_bits(hashes: np.ndarray) -> np.ndarray:
     """Row i: for each of 64 bits, set minus unset in the first i hashes."""
     bits = np.unpackbits(hashes.view(np.uint8)).reshape(-1, 64).astype(np.int32) * 2 - 1
@@ -91,7 +94,7 @@ class Index:
             words = WORDS.findall(text.lower())
             if words:
                 self.codes.update((w, word_hash(w)) for w in words)
-                by_size.setdefault(len(words), []).append((item, shingles(np.array([self.codes[w] for w in words], np.uint64))))
+                by_size.setdefault(len(words), []).append((item, all_shingles(np.array([self.codes[w] for w in words], np.uint64))))
         self.known = np.unique(np.concatenate([s for group in by_size.values() for _, s in group])) if by_size else np.empty(0, np.uint64)
         self.sizes: list[tuple[int, list[tuple[int, np.ndarray]], np.ndarray, np.ndarray]] = []
         for size, group in sorted(by_size.items()):
@@ -120,20 +123,21 @@ class Index:
         return [best[item] for item in sorted(best)]
 
     def _shared(self, words: np.ndarray) -> np.ndarray:
-        """Which shingles of the words occur in the benchmark."""
+        """Which shingles of the words occur in the benchmark; only runs of its words are hashed and looked up."""
         if not len(words) or not len(self.known):
             return np.zeros(0, np.bool_)
-        own = shingles(words)
-        if len(words) >= SHINGLE:  # only runs of known words are looked up
-            run = np.convolve(words != 0, np.ones(SHINGLE, np.int8), "valid") == SHINGLE
-            shared = np.zeros(len(own), np.bool_)
-            own = own[run]
-            shared[run] = self.known[np.minimum(np.searchsorted(self.known, own), len(self.known) - 1)] == own
-            return shared
-        return np.isin(own, self.known)
+        size = min(SHINGLE, len(words))
+        shared = words[: len(words) - size + 1] != 0
+        for i in range(1, size):
+            shared &= words[i : len(words) - size + 1 + i] != 0
+        at = np.flatnonzero(shared)
+        if len(at):
+            own = shingles([words[at + i] for i in range(size)])
+            shared[at] = self.known[np.minimum(np.searchsorted(self.known, own), len(self.known) - 1)] == own
+        return shared
 
     def _windows(self, words: np.ndarray, offset: int) -> Iterator[dict]:
-        own = shingles(words)
+        own = all_shingles(words)
         shared = np.concatenate([[0], np.cumsum(self._shared(words))])
         sums = running_bits(own)
         for size, group, prints, table in self.sizes:
