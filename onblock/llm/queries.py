@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from onblock.llm import toxicity
+from onblock.llm import pii, toxicity
 from onblock.llm.bpe import decode, encode, read_tokenizer
 from onblock.llm.decontamination import contaminated
 from onblock.llm.html import extract
@@ -32,6 +32,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_pii_spans(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs)).select("doc_id", "spans")
+    names = F.array(*[F.lit(kind) for kind in pii.KINDS])
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda i: F.size(F.filter(base, lambda s: s["kind"] == i)).cast("long")
+    counts = [count(i).alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def tokenizer_file() -> str:
     import public_tokenizers
 
