@@ -135,3 +135,10 @@ def op3_toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False))
     scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.score(F.col("text"), model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
