@@ -59,10 +59,9 @@ def shingles(columns: list[np.ndarray]) -> np.ndarray:
     return total ^ (total >> np.uint64(32))
 
 
-def all_shingles(words: np.ndarray) -> np.ndarray:
-    """The runs of SHINGLE words of a sequence; a shorter sequence is one shingle."""
-    size = min(SHINGLE, len(words))
-    return shingles([words[i : len(words) - size + 1 + i] for i in range(size)])
+def runs(words: np.ndarray, length: int) -> list[np.ndarray]:
+    """The columns of all runs of so many words."""
+    return [words[i : max(len(words) - length + 1 + i, i)] for i in range(length)]
 
 
 def running_bits(hashes: np.ndarray) -> np.ndarray:
@@ -84,7 +83,10 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 class Index:
-    """Items by their number of words; per number, byte tables that name the items near a fingerprint."""
+    """Items by their number of words; per number, byte tables that name the items near a fingerprint.
+
+    Items with fewer words than a shingle are one shingle of their own length, so `known` holds the benchmark's shingles by length.
+    """
 
     def __init__(self, items: list[tuple[int, str]]):
         near = [[x for x in range(256) if (x ^ byte).bit_count() <= RADIUS // 8] for byte in range(256)]
@@ -94,8 +96,12 @@ class Index:
             words = WORDS.findall(text.lower())
             if words:
                 self.codes.update((w, word_hash(w)) for w in words)
-                by_size.setdefault(len(words), []).append((item, all_shingles(np.array([self.codes[w] for w in words], np.uint64))))
-        self.known = np.unique(np.concatenate([s for group in by_size.values() for _, s in group])) if by_size else np.empty(0, np.uint64)
+                own = shingles(runs(np.array([self.codes[w] for w in words], np.uint64), min(SHINGLE, len(words))))
+                by_size.setdefault(len(words), []).append((item, own))
+        lengths = {min(SHINGLE, size) for size in by_size}
+        self.known = {
+            k: np.unique(np.concatenate([own for size, group in by_size.items() if min(SHINGLE, size) == k for _, own in group])) for k in lengths
+        }
         self.sizes: list[tuple[int, list[tuple[int, np.ndarray]], np.ndarray, np.ndarray]] = []
         for size, group in sorted(by_size.items()):
             prints = fingerprints(np.array([running_bits(s)[-1] for _, s in group]))
@@ -109,7 +115,7 @@ class Index:
         """The best window of every item found in the text."""
         words = WORDS.findall(text.lower())
         known = np.fromiter(map(self.codes.get, words, repeat(0)), np.uint64, len(words))
-        if not self._shared(known).any():
+        if not any(self._shared(known, k).any() for k in self.known):
             return []
         code = self.codes.get
         hashed = np.array([code(w) or word_hash(w) for w in words], np.uint64)
@@ -122,28 +128,29 @@ class Index:
                     best[found["item_id"]] = found
         return [best[item] for item in sorted(best)]
 
-    def _shared(self, words: np.ndarray) -> np.ndarray:
-        """Which shingles of the words occur in the benchmark; only runs of its words are hashed and looked up."""
-        if not len(words) or not len(self.known):
-            return np.zeros(0, np.bool_)
-        size = min(SHINGLE, len(words))
-        shared = words[: len(words) - size + 1] != 0
-        for i in range(1, size):
-            shared &= words[i : len(words) - size + 1 + i] != 0
+    def _shared(self, words: np.ndarray, length: int) -> np.ndarray:
+        """Which runs of so many words occur in the benchmark; only runs of its words are hashed and looked up."""
+        columns, known = runs(words, length), self.known[length]
+        shared = columns[0] != 0
+        for column in columns[1:]:
+            shared &= column != 0
         at = np.flatnonzero(shared)
         if len(at):
-            own = shingles([words[at + i] for i in range(size)])
-            shared[at] = self.known[np.minimum(np.searchsorted(self.known, own), len(self.known) - 1)] == own
+            own = shingles([column[at] for column in columns])
+            shared[at] = known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own
         return shared
 
     def _windows(self, words: np.ndarray, offset: int) -> Iterator[dict]:
-        own = all_shingles(words)
-        shared = np.concatenate([[0], np.cumsum(self._shared(words))])
-        sums = running_bits(own)
+        by_length = {}
+        for k in self.known:
+            own = shingles(runs(words, k))
+            by_length[k] = own, np.concatenate([[0], np.cumsum(self._shared(words, k))]), running_bits(own)
         for size, group, prints, table in self.sizes:
-            n = min(size, len(words))
-            width = max(n - SHINGLE + 1, 1)
-            full = max(size - SHINGLE + 1, 1)
+            k, n = min(SHINGLE, size), min(size, len(words))
+            own, shared, sums = by_length[k]
+            width, full = n - k + 1, size - k + 1
+            if width < 1:
+                continue
             need = SIMILAR * (width + full) / (1 + SIMILAR)
             starts = np.flatnonzero(shared[width:] - shared[:-width] >= need - 1e-9)
             if not len(starts):
@@ -171,7 +178,7 @@ def leaks(text: Column, benchmark: DataFrame, item_text: str = "text", item_id:
     """The benchmark items found in a whole text: item_id, first word and length of the best window, differing bits, similarity.
 
     Words are runs of letters, digits and underscores in lower case. Items with nulls or without words match nothing, items of fewer words
-    than a shingle match where their whole sequence is a document's window; documents shorter than an item are compared as a whole. Null
+    than a shingle match where their whole sequence occurs; documents shorter than an item are compared as a whole. Null
     and empty texts have no matches. Several items with one id count as that item.
 
     The benchmark travels with the tasks, so it is measured first; one above MOST_BYTES has to be given in parts.
