@@ -319,7 +319,7 @@ def prev_leg_delay(t):
 def prev_leg_unregistered(t):
     """A third of the vehicles lose their registration and fall into one group per day, which is cut into ranges."""
     trips = t.trips.withColumn("tail", F.when(F.col("tail").cast("int") % 3 != 0, F.col("tail")))
-    heavy = HeavyGroups(min_rows=200, share=0.001, min_bytes=0)
+    heavy = HeavyGroups(min_rows=100)
     return features.previous_leg(trips, heavy=heavy).select("flight_id", r("prev_arr_delay"), "turnaround")
 
 
@@ -437,6 +437,15 @@ def risk_factors(t):
     return asked.select("request_id", text.alias("factors"))
 
 
+@query
+def score_requests_facts(t):
+    facts = scoring.request_facts(t.requests, _routes(t), t.weather, weather.climatology(_clean(t)), t.airports)
+    text = F.array_join(F.transform("factors", lambda f: F.concat_ws(":", f["label"], f["level"])), "|")
+    return facts.select(
+        "request_id", "mode", r("distance"), r("crs_elapsed"), "meteo_source", *[F.col(f"meteo.{c}").alias(c) for c in weather.MEASURES], text.alias("factors")
+    )
+
+
 @query
 def delay_label(t):
     return t.replay.select(
@@ -711,7 +720,7 @@ def route_risk(t):
 
 @query
 def scored_days(t):
-    return scoring.scored_days(t.trips, t.airports, t.weather, _models(t), ["2024-01-15"])
+    return scoring.scored_days(t.trips, t.airports, t.weather, _models(t))
 
 
 @query

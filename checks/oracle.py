@@ -133,8 +133,13 @@ CTES = {
             LEFT JOIN clim c ON c.iata = q.origin AND c.month = q.month
             CROSS JOIN (SELECT {g} FROM clim) g""".format(
         m=", ".join(
-            f"CASE WHEN w.iata IS NOT NULL THEN w.{c} WHEN c.iata IS NOT NULL THEN {half_even('c.' + c)} ELSE g.{c} END AS {c}"
-            for c in ("prcp", "snow", "wspd", "tavg")
+            f"CASE WHEN w.iata IS NOT NULL THEN {dated} WHEN c.iata IS NOT NULL THEN {half_even('c.' + c)} ELSE g.{c} END AS {c}"
+            for c, dated in (
+                ("prcp", "coalesce(w.prcp, 0)"),
+                ("snow", "coalesce(w.snow, 0) * 10"),
+                ("wspd", "coalesce(nullif(w.wspd, 0), 15)"),
+                ("tavg", "coalesce(nullif(w.tavg, 0), 15)"),
+            )
         ),
         g=", ".join(f"{half_even('avg(' + half_even(c) + ')')} AS {c}" for c in ("prcp", "snow", "wspd", "tavg")),
     ),

@@ -113,9 +113,13 @@ def describe(df: DataFrame, column: str, digits: int = 1) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int = 60) -> DataFrame:
-    """Equal-width bins between the extremes; the last bin is closed on both sides; empty bins are absent."""
+    """Equal-width bins between the extremes; the last bin is closed on both sides; empty bins are absent.
+
+    Equal extremes are widened by a half to both sides, so a constant column falls into the middle.
+    """
     ends = df.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi"))).scalar()
-    bin_no = F.least(F.width_bucket(F.col(column), F.col("_e.lo"), F.col("_e.hi"), F.lit(bins)), F.lit(bins))
+    apart = F.when(F.col("_e.lo") == F.col("_e.hi"), F.lit(0.5)).otherwise(F.lit(0.0))
+    bin_no = F.least(F.width_bucket(F.col(column), F.col("_e.lo") - apart, F.col("_e.hi") + apart, F.lit(bins)), F.lit(bins))
     return (
         df.filter(F.col(column).isNotNull())
         .withColumn("_e", ends)

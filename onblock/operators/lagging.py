@@ -13,31 +13,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from onblock.runtime import planned_bytes
-
 
 @dataclass(frozen=True)
 class HeavyGroups:
-    """When a group counts as heavy, and how finely it is cut.
-
-    A key is heavy with at least `min_rows` rows and at least `share` of the table, so there are never more than
-    `1 / share` of them. Inputs planned below `min_bytes` cannot hold a heavy group and skip the counting pass.
-    """
+    """A group is heavy from `min_rows` rows on. Groups are counted on their full key, whatever the size of the input."""
 
     min_rows: int = 2_000_000
-    share: float = 0.001
-    max_ranges: int = 512
-    min_bytes: int = 256 << 20
 
 
-def heavy_keys(df: DataFrame, key: str, spec: HeavyGroups) -> list[tuple[object, int]]:
-    """Keys (with counts) that hold too many rows for one task; at most `1 / share` rows reach the driver."""
-    if planned_bytes(df) < spec.min_bytes:
-        return []
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    rows = counts.filter((F.col("n") >= spec.min_rows) & (F.col("n") >= total * spec.share)).collect()
-    return [(row[0], row["n"]) for row in rows]
+def heavy_groups(df: DataFrame, by: list[str], spec: HeavyGroups) -> DataFrame:
+    """The keys of groups that hold too many rows for one task, with their counts `n`; at most a `min_rows`-th of the rows."""
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= spec.min_rows)
 
 
 def _position(order: list[str]) -> Column:
@@ -46,7 +32,7 @@ def _position(order: list[str]) -> Column:
 
 
 def _cut_points(heavy: DataFrame, order: list[str], rows: int, ranges: int) -> list:
-    sample = heavy.select(*order).sample(fraction=min(1.0, 32.0 * ranges / rows), seed=7)
+    sample = heavy.select(*order).sample(fraction=min(1.0, 16.0 * ranges / rows), seed=7)
     points = sample.orderBy(*[F.col(c).asc_nulls_last() for c in order]).collect()
     step = max(1, len(points) // ranges)
     return points[step::step]
@@ -75,13 +61,14 @@ def lag_in_group(
 ) -> DataFrame:
     """Adds each `carry` expression as seen on the previous row of the same `by` group in `order` (NULLS LAST).
 
-    Heavy groups are looked for on the first `by` column. `order` has to be unique inside a group for a repeatable
-    answer.
+    `order` has to be unique inside a group for a repeatable answer. All heavy groups share their cut points; there is one for every
+    `min_rows` rows of theirs, so no range of a group is much larger than that, however its rows are spread.
     """
     sort = [F.col(c).asc_nulls_last() for c in order]
-    found = heavy_keys(df, by[0], heavy) if heavy else []
     seen = F.struct(*[value.alias(name) for name, value in carry.items()])
-    if not found:
+    found = heavy_groups(df, by, heavy) if heavy else None
+    rows = (found.agg(F.sum("n")).first()[0] or 0) if heavy else 0
+    if not rows:
         previous = F.lag(seen).over(Window.partitionBy(*by).orderBy(*sort))
         return (
             df.withColumn("_prev", previous)
@@ -89,12 +76,14 @@ def lag_in_group(
             .drop("_prev")
         )
 
-    is_heavy = reduce(lambda a, b: a | b, [F.col(by[0]).eqNullSafe(F.lit(key)) for key, _ in found])
-    rows = sum(n for _, n in found)
-    ranges = max(2, min(heavy.max_ranges, rows // max(1, heavy.min_rows)))
-    points = _cut_points(df.filter(is_heavy), order, rows, ranges)
+    keys = found.select(*[F.col(c).alias(f"_heavy_{c}") for c in by], F.lit(True).alias("_is_heavy"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_heavy_{c}")) for c in by])
+    marked = df.join(keys, same, "left").select(*df.columns, F.col("_is_heavy").isNotNull().alias("_is_heavy"))
+    ranges = max(2, -(-rows // heavy.min_rows))
+    points = _cut_points(marked.filter("_is_heavy"), order, rows, ranges)
     place = _place(points, order, dict(df.dtypes)) if points else F.lit(0)
-    ranged = df.withColumn("_range", F.when(is_heavy, place).otherwise(F.lit(0))).withColumn("_seen", seen)
+    ranged = marked.withColumn("_range", F.when(F.col("_is_heavy"), place).otherwise(F.lit(0))).withColumn("_seen", seen)
+    is_heavy = F.col("_is_heavy")
 
     last_of_range = ranged.filter(is_heavy).groupBy(*by, "_range").agg(F.max_by("_seen", _position(order)).alias("_seen"))
     before = F.lag("_seen").over(Window.partitionBy(*by).orderBy("_range"))

@@ -12,6 +12,7 @@ from pyspark.storagelevel import StorageLevel
 
 from onblock.operators.encode import standardised
 
+# The profile columns, in their order.
 PROFILE_FEATURES = ["n_flights", "delay_rate", "avg_delay", "cancel_rate", "avg_distance"]
 
 
@@ -55,38 +56,43 @@ def cluster_profile(clustered: DataFrame, digits: int = 2) -> DataFrame:
     return clustered.groupBy("cluster").agg(*[F.round(F.avg(c), digits).alias(c) for c in PROFILE_FEATURES])
 
 
-def silhouette(df: DataFrame, columns: list[str], cluster: str, key: str, block_rows: int = 20_000) -> DataFrame:
-    """Mean Euclidean silhouette, exact, as a one-row frame.
+def silhouette(df: DataFrame, columns: list[str], cluster: str, key: str, block_rows: int = 5_000) -> DataFrame:
+    """Mean Euclidean silhouette, exact, as a one-row frame; `key` is unique.
 
-    Distances to all points are needed, but never as rows: points travel to the tasks in blocks of bounded size and
-    each row adds its distance sums per cluster. A profile of hubs fits one block; larger inputs take more passes.
+    The measure needs the distance of every row to every other, so the work is quadratic and meant for profiles, not for trips. Rows are
+    dealt to blocks by a hash of the key; every pair of blocks is one task that turns its distances into sums per row and cluster, and
+    the sums are added up. Each row is sent to as many tasks as there are blocks, and a task holds two blocks.
     """
     sizes = {row[cluster]: row["n"] for row in df.groupBy(cluster).agg(F.count(F.lit(1)).alias("n")).collect()}
     labels = sorted(sizes)
     blocks = max(1, -(-sum(sizes.values()) // block_rows))
-    block = F.abs(F.xxhash64(key)) % blocks
-    sums = df.withColumn("_sums", F.array(*[F.lit(0.0)] * len(labels)))
-    spark = df.sparkSession
-    for b in range(blocks):
-        part = df.filter(block == b).select(*columns, cluster).toPandas()
-        points = spark.sparkContext.broadcast((part[columns].to_numpy(float), part[cluster].to_numpy()))
-
-        @F.pandas_udf("array<double>")
-        def add(so_far: pd.Series, rows: pd.DataFrame) -> pd.Series:
-            there, owner = points.value
-            here = rows.to_numpy(float)
-            out = np.array(so_far.tolist(), dtype=float).reshape(len(here), len(labels))
-            for start in range(0, len(here), 256):
-                gap = here[start : start + 256, None, :] - there[None, :, :]
-                apart = np.sqrt((gap * gap).sum(axis=2))
-                for i, label in enumerate(labels):
-                    out[start : start + 256, i] += apart[:, owner == label].sum(axis=1)
-            return pd.Series(list(out))
-
-        sums = sums.withColumn("_sums", add("_sums", F.struct(*columns)))
+    rows = df.select(
+        F.col(key).alias("_key"),
+        F.array(*[F.col(c).cast("double") for c in columns]).alias("_at"),
+        F.array_position(F.array(*[F.lit(c) for c in labels]), F.col(cluster)).cast("int").alias("_own"),
+        F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("_block"),
+    )
+    others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    here = rows.withColumn("_other", others)
+    there = rows.select("_at", "_own", F.col("_block").alias("_other"), others.alias("_block"))
+
+    def summed(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        a, owner = np.stack(left["_at"]) if len(left) else np.empty((0, len(columns))), right["_own"].to_numpy()
+        b = np.stack(right["_at"]) if len(right) else np.empty((0, len(columns)))
+        out = np.zeros((len(a), len(labels)))
+        for start in range(0, len(a), 256):
+            gap = a[start : start + 256, None, :] - b[None, :, :]
+            apart = np.sqrt((gap * gap).sum(axis=2))
+            for i in range(len(labels)):
+                out[start : start + 256, i] = apart[:, owner == i + 1].sum(axis=1)
+        return pd.DataFrame({"_key": left["_key"], "_own": left["_own"], **{f"_s{i}": out[:, i] for i in range(len(labels))}})
+
+    kind = f"_key {dict(df.dtypes)[key]}, _own int, " + ", ".join(f"_s{i} double" for i in range(len(labels)))
+    parts = here.groupBy("_block", "_other").cogroup(there.groupBy("_block", "_other")).applyInPandas(summed, kind)
+    sums = parts.groupBy("_key", "_own").agg(F.array(*[F.sum(f"_s{i}") for i in range(len(labels))]).alias("_sums"))
 
     means = F.array(*[F.try_divide(F.element_at("_sums", i + 1), F.lit(float(sizes[c]))) for i, c in enumerate(labels)])
-    own = F.array_position(F.array(*[F.lit(c) for c in labels]), F.col(cluster)).cast("int")
+    own = F.col("_own")
     own_size = F.element_at(F.array(*[F.lit(sizes[c]) for c in labels]), own)
     scored = sums.select(
         F.try_divide(F.element_at("_sums", own), own_size - 1).alias("a"),

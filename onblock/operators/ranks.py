@@ -7,6 +7,8 @@ accumulates its own rows from that offset.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +30,7 @@ def running_totals(
 ) -> DataFrame:
     """Adds `cum_<name>` and `all_<name>` for every name in `sums`.
 
-    Sums accumulate along `order`, which must be unique per `by` group; the groups are few.
+    Sums accumulate along `order`, which must be unique per `by` group; the groups are few and may have null keys.
     """
     by = by or []
     cuts = F.expr(f"percentile_approx({order}, array({', '.join(SHARES)}), 10000)").alias("at")
@@ -54,16 +56,19 @@ def running_totals(
         *[F.sum(f"_total_{name}").over(whole).alias(f"all_{name}") for name in sums],
     )
     within = Window.partitionBy(*by, "_range").orderBy(along(order)).rowsBetween(Window.unboundedPreceding, 0)
-    summed = ranged.join(F.broadcast(offsets), [*by, "_range"]).select(
+    keys = [*by, "_range"]
+    sides = offsets.withColumnsRenamed({c: f"_of_{c}" for c in keys})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in keys])
+    summed = ranged.join(F.broadcast(sides), same).select(
         *hist.columns,
         *[(F.col(f"_before_{name}") + F.sum(name).over(within)).alias(f"cum_{name}") for name in sums],
         *[f"all_{name}" for name in sums],
         "_all",
     )
-    # Always true. It makes each of the three uses of `hist` read every sum, so that they stay the same plan and Spark
-    # computes the histogram once, whichever sums the caller selects.
+    # True for any number, also negative or fractional, and for null. It makes each of the three uses of `hist` read every sum, so that
+    # they stay the same plan and Spark computes the histogram once, whichever sums the caller selects.
     for name in sums:
-        summed = summed.filter(F.col(f"cum_{name}") <= F.col(f"_all.{name}"))
+        summed = summed.filter(F.coalesce(F.abs(F.col(f"cum_{name}") - F.col(f"_all.{name}")) >= 0, F.lit(True)))
     return summed.drop("_all")
 
 

@@ -128,12 +128,13 @@ def forecast_source(date: Column | str, reference_date: str | dt.date | Column)
 def request_weather(requests: DataFrame, weather: DataFrame, clim: DataFrame, airports: DataFrame | None = None) -> DataFrame:
     """Readings for score requests: the dated ones, else the airport's month, else the overall mean.
 
-    With `airports`, a dated reading only counts for an origin with known coordinates.
+    Dated readings are normalised as provider readings are, so a missing or zero wind or temperature becomes 15 and snowfall is in
+    millimetres. With `airports`, a dated reading only counts for an origin with known coordinates.
     """
     if airports is not None:
         known = airports.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select("iata")
         weather = weather.join(known, "iata", "left_semi")
-    dated = weather.select(
+    dated = forecast_normalised(weather).select(
         F.col("iata").alias("_wi"), F.col("date").alias("_wd"), F.struct(*MEASURES).alias("_dated")
     )
     typical = rounded_climatology(clim).select(

@@ -47,10 +47,10 @@ def temporal_split(df: DataFrame, cut: str = SPLIT) -> tuple[DataFrame, DataFram
     return df.filter(F.col("flight_date") < at), df.filter(F.col("flight_date") >= at)
 
 
-def day_slice(trips: DataFrame, dates: list[str]) -> DataFrame:
-    """Completed, labelled trips of the given days that have a departure minute."""
-    days = [F.lit(d).cast("date") for d in dates]
-    return model_ready(trips.filter(F.col("flight_date").isin(*days)), need_delay=False).filter(F.col("dep_min").isNotNull())
+def day_slice(trips: DataFrame, dates: list[str] | None) -> DataFrame:
+    """Completed, labelled trips of the given days (of all days for None) that have a departure minute."""
+    wanted = trips if dates is None else trips.filter(F.col("flight_date").isin(*[F.lit(d).cast("date") for d in dates]))
+    return model_ready(wanted, need_delay=False).filter(F.col("dep_min").isNotNull())
 
 
 def booking_frame(trips: DataFrame, weather: DataFrame, fill: str = "frame", cut: str = SPLIT) -> DataFrame:

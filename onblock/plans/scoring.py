@@ -15,6 +15,7 @@ from onblock.plans.routes import ROUTE_COLUMNS, ROUTE_MONTH, ROUTE_WEEKDAY, rout
 
 # What an unknown route is assumed to be, and the day-of situation of a request.
 DISTANCE_DEFAULT, ELAPSED_DEFAULT = 800, 120
+REQUEST_DEFAULTS = {"month": 7, "day_of_week": 4, "dep_hour": 8}
 CONGESTION_ASSUMED, TURNAROUND_ASSUMED, STATE_ASSUMED = 20, 50, 0.2
 
 
@@ -35,6 +36,11 @@ def with_route_defaults(requests: DataFrame, routes: DataFrame) -> DataFrame:
     ).drop("_o", "_d", "_distance", "_elapsed")
 
 
+def with_request_defaults(requests: DataFrame) -> DataFrame:
+    """Month, weekday and hour of a request where it leaves them out."""
+    return requests.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in REQUEST_DEFAULTS.items()})
+
+
 def whole_minutes(minutes: Column | str) -> Column:
     """Predicted minutes as an integer, half to even."""
     return F.bround(minutes).cast("int")
@@ -45,9 +51,32 @@ def score_requests(
 ) -> DataFrame:
     """Answers to ad-hoc requests, for a table or a stream of them.
 
-    A known delay of the previous leg selects the day-of models, otherwise the booking models answer.
+    A known delay of the previous leg selects the day-of models, otherwise the booking models answer; a request meets only its own two.
     """
-    asked = request_weather(with_route_defaults(requests, routes), weather, clim, airports)
+    facts = request_facts(requests, routes, weather, clim, airports)
+    day, book = facts.filter("_dayof"), facts.filter("not _dayof")
+    scored = _scored(day, models.dayof, models.dayof_minutes).unionByName(_scored(book, models.booking, models.booking_minutes))
+    return scored.select(
+        "request_id",
+        F.bround("_p", 3).alias("proba"),
+        whole_minutes("_m").alias("minutes"),
+        "mode",
+        "distance",
+        "crs_elapsed",
+        "meteo",
+        "meteo_source",
+        "factors",
+    )
+
+
+def _scored(facts: DataFrame, risk: DelayModel, minutes: DelayModel) -> DataFrame:
+    scored = minutes.transform(risk.transform(facts, "_p"), "_m")
+    return scored.select("request_id", "_p", "_m", "mode", "distance", "crs_elapsed", "meteo", "meteo_source", "factors")
+
+
+def request_facts(requests: DataFrame, routes: DataFrame, weather: DataFrame, clim: DataFrame, airports: DataFrame) -> DataFrame:
+    """What an answer states besides its scores (mode, distance, minutes of travel, weather, factors), and the model inputs."""
+    asked = request_weather(with_route_defaults(with_request_defaults(requests), routes), weather, clim, airports)
     dayof = F.col("prev_arr_delay").isNotNull()
     ready = with_crosses(asked).withColumns(
         {
@@ -60,21 +89,12 @@ def score_requests(
             "_dayof": dayof,
         }
     )
-    scored = models.booking.transform(ready, "_b")
-    scored = models.booking_minutes.transform(scored, "_bm")
-    scored = models.dayof.transform(scored, "_d")
-    scored = models.dayof_minutes.transform(scored, "_dm")
-    pick = lambda day, book: F.when(F.col("_dayof"), F.col(day)).otherwise(F.col(book))
-    return scored.select(
-        "request_id",
-        F.bround(pick("_d", "_b"), 3).alias("proba"),
-        whole_minutes(pick("_dm", "_bm")).alias("minutes"),
-        F.when(F.col("_dayof"), MODE_DAYOF).otherwise(MODE_BOOKING).alias("mode"),
-        "distance",
-        "crs_elapsed",
-        F.struct(*[F.bround(f"meteo.{c}", 1).alias(c) for c in MEASURES]).alias("meteo"),
-        "meteo_source",
-        risk_factors("prcp", "snow", "wspd", "dep_hour", "_prev").alias("factors"),
+    return ready.withColumns(
+        {
+            "mode": F.when(F.col("_dayof"), MODE_DAYOF).otherwise(MODE_BOOKING),
+            "meteo": F.struct(*[F.bround(f"meteo.{c}", 1).alias(c) for c in MEASURES]),
+            "factors": risk_factors("prcp", "snow", "wspd", "dep_hour", "_prev"),
+        }
     )
 
 
@@ -97,16 +117,16 @@ def daily_medians(day: DataFrame, weather: DataFrame) -> DataFrame:
 
 
 def scored_days(
-    trips: DataFrame, airports: DataFrame, weather: DataFrame, models: Models, dates: list[str]
+    trips: DataFrame, airports: DataFrame, weather: DataFrame, models: Models, dates: list[str] | None = None
 ) -> DataFrame:
-    """All four scores for every completed trip of the given days, in one job.
+    """All four scores for every completed trip of the given days, or of all days, in one job.
 
     The features of a day depend on that day only, so other days are cut off before the windows. Weather gaps take
     the median of the day.
     """
     from onblock.plans.routes import with_endpoints
 
-    wanted = trips.filter(F.col("flight_date").isin(*[F.lit(d).cast("date") for d in dates]))
+    wanted = trips if dates is None else trips.filter(F.col("flight_date").isin(*[F.lit(d).cast("date") for d in dates]))
     day = with_endpoints(day_slice(dayof_features(wanted), dates), airports)
     middle = daily_medians(day, weather)
     enriched = with_weather(day, weather).join(F.broadcast(middle), F.col("flight_date") == F.col("_day"), "left")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,11 +33,19 @@ MISSING_CODE = r"\N"
 
 
 def read_trip_files(spark: SparkSession, glob: str) -> DataFrame:
-    """All columns as text, named by the header line; rows with too few or too many fields are dropped.
+    """All columns as text, named by the header line of their own file; rows with too few or too many fields are dropped.
 
+    Files may order their columns differently: those with the same header are read together and the groups are joined by name.
     Column pruning is off for this read, because a pruned parse no longer notices ragged rows.
     """
-    return spark.read.options(header=True, mode="DROPMALFORMED", columnPruning=False).csv(glob)
+    files = [row["path"] for row in spark.read.format("binaryFile").load(glob).select("path").collect()]  # a file a month
+    by_header: dict[str, list[str]] = {}
+    for path in sorted(files):
+        first = spark.read.text(path).first()
+        by_header.setdefault(first["value"] if first else "", []).append(path)
+    reader = spark.read.options(header=True, mode="DROPMALFORMED", columnPruning=False)
+    parts = [reader.csv(paths) for paths in by_header.values()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def _value(name: str, kind: str) -> Column:
@@ -85,14 +95,19 @@ def valid_code(code: Column | str) -> Column:
 
 
 def read_airports(spark: SparkSession, path: str) -> DataFrame:
-    """The headerless airport file: text by position, rows with a three-letter code only, one per code."""
+    """The headerless airport file: text by position, rows with a three-letter code only, one per code.
+
+    Of several rows with one code the first by name, city, country and position stays.
+    """
     schema = ", ".join(f"c{i} string" for i in range(AIRPORT_WIDTH))
     raw = spark.read.options(header=False, escape="\\").schema(schema).csv(path)
     named = raw.select(*[F.col(f"c{i}").alias(name) for i, name in AIRPORT_POSITIONS.items()])
     kept = named.filter(valid_code("iata")).withColumns(
         {c: F.col(c).try_cast("double") for c in ("lat", "lon")}
     )
-    return kept.select("iata", "name", "city", "country", "lat", "lon")
+    rest = ["name", "city", "country", "lat", "lon"]
+    one = kept.groupBy("iata").agg(F.min(F.struct(*rest)).alias("row"))
+    return one.select("iata", *[f"row.{c}" for c in rest])
 
 
 def raw_shape(raw: DataFrame) -> DataFrame:

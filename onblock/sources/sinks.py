@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from onblock.runtime import fresh_path
@@ -38,10 +40,13 @@ def read_lookup(spark: SparkSession, path: str, schema: str | None = None) -> Da
 
 
 def publish(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
-    """Writes a new version of a table and points the view of that name to it once the write is complete."""
+    """Writes a new version of a table and points the view of that name to it once the write is complete.
+
+    Every call has a folder of its own, so readers of the version before are not disturbed; old versions are the caller's to remove.
+    """
     spark = df.sparkSession
-    path = f"{root.rstrip('/')}/{name}-{df.semanticHash() & 0xFFFFFFFF:08x}" if root else fresh_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}" if root else fresh_path(spark, name)
+    df.write.parquet(path)
     stored = spark.read.parquet(path)
     stored.createOrReplaceTempView(name)
     return stored
