@@ -81,7 +81,7 @@ def op7_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    judged = judge(table(spark, folder, "documents").select("doc_id", "text"))
+    judged = judge(table(spark, folder, "documents"), keep=["doc_id"])
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 

@@ -88,37 +88,45 @@ def _repeated_words(words: DataFrame) -> DataFrame:
     return placed.withColumn("n_repeat_words", F.aggregate("places", start, cover)["n"]).drop("places")
 
 
-def with_signals(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Every row of docs as `row`, and the counts of its whole text as columns named in SIGNALS; null texts count as empty."""
-    content = F.col("content")
-    count = lambda kinds: F.length(F.regexp_replace(content, f"[^{kinds}]++", "")).cast("long")
+def with_signals(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The kept columns of docs as `row`, and the counts of its whole text as columns named in SIGNALS; null texts count as empty.
+
+    Marks and capitals are counted in what is left of a text when every run of a-z and white space has become one space.
+    """
+    content, marks = F.col("content"), F.col("marks")
+    count = lambda kinds: F.length(F.regexp_replace(marks, f"[^{kinds}]++", "")).cast("long")
     lines = F.filter(F.split(content, "\n", -1), lambda line: line.rlike(f"[^{SPACE}]"))
     plain = {
         "n_symbols": count(SYMBOLS),
-        "n_runs": F.regexp_count(content, F.lit(f"[{SYMBOLS}]++")).cast("long"),
-        "n_long_runs": F.regexp_count(content, F.lit(f"[{SYMBOLS}]{{3,}}+|[!?]{{2,}}+")).cast("long"),
-        "n_letters": count(r"A-Za-z\u0080-\uFFFF"),
+        "n_runs": F.regexp_count(marks, F.lit(f"[{SYMBOLS}]++")).cast("long"),
+        "n_long_runs": F.regexp_count(marks, F.lit(f"[{SYMBOLS}]{{3,}}+|[!?]{{2,}}+")).cast("long"),
+        "n_other_letters": count(r"A-Z\u0080-\uFFFF"),
+        "n_marks": F.length(F.replace(marks, F.lit(" "), F.lit(""))).cast("long"),
         "n_capitals": count("A-Z"),
         "n_calls": count("!?"),
         "n_stops": count(".,;:"),
         "lines": lines,
         "n_chars": F.length(content).cast("long"),
     }
-    read = docs.select(carried(docs).alias("row"), F.coalesce(quoted(text), F.lit("")).alias("content"))
+    carry = docs if keep is None else docs.select(*[quoted(c) for c in keep])
+    read = docs.select(carried(carry).alias("row"), F.coalesce(quoted(text), F.lit("")).alias("content"))
+    read = read.withColumn("marks", F.regexp_replace("content", f"[a-z{SPACE}]++", " "))
     read = read.select(
         "row",
         F.struct(*[value.alias(name) for name, value in plain.items()]).alias("plain"),
         F.array_remove(F.split(content, f"[{SPACE}]+", -1), "").alias("words"),
     )
+    word_chars = F.length(F.array_join("words", "")).cast("long")
     return _repeated_words(read).select(
         "row",
         F.size("words").cast("long").alias("n_words"),
-        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        word_chars.alias("word_chars"),
         "n_repeat_words",
+        (word_chars - F.col("plain.n_marks") + F.col("plain.n_other_letters")).alias("n_letters"),
         F.size(F.array_distinct("words")).cast("long").alias("n_distinct"),
         F.size("plain.lines").cast("long").alias("n_lines"),
         (F.size("plain.lines") - F.size(F.array_distinct("plain.lines"))).cast("long").alias("n_dup_lines"),
-        *[F.col(f"plain.{name}").alias(name) for name in plain if name != "lines"],
+        *[F.col(f"plain.{name}").alias(name) for name in plain if name not in ("lines", "n_marks", "n_other_letters")],
     )
 
 
@@ -169,18 +177,19 @@ def estimate(votes: DataFrame) -> tuple[float, Rates]:
     return prior, rates
 
 
-def judge(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds the base counts, base_failed, quality (posterior) and kept to every row of docs.
+def judge(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Adds the base counts, base_failed, quality (posterior) and kept to every row of docs; of its columns all stay, or those named in keep.
 
     base_failed: under LEAST_WORDS words, or over MOST_REPEATED percent of them in repeated windows. Other documents are kept if the
     posterior of good quality reaches KEEP_FROM. Rules are weighed on the documents that pass the base. Null and empty texts have no
     words and fail it; repeated rows count as often as they occur; an empty table gives an empty result. Columns of docs named
-    like a result are replaced. Rows are written once with their signals, so pass only the columns that are needed later.
+    like a result are replaced. Rows are written once with their signals, so name in keep only the columns that are needed later.
     """
-    signals = settle(with_signals(docs, text), "signals")
+    columns = docs.columns if keep is None else keep
+    signals = settle(with_signals(docs, text, columns), "signals")
     votes = _rules()
     voted = signals.withColumn("base_failed", base_failed()).withColumns({rule: votes[rule] for rule in RULES})
     prior, rates = estimate(voted.filter("not base_failed"))
     decided = voted.withColumn("quality", _posterior(prior, rates))
     results = {name: F.col(name) for name in [*BASE, "base_failed", "quality"]}
-    return unpacked(decided, "row", docs.columns, results | {"kept": ~F.col("base_failed") & (F.col("quality") >= KEEP_FROM)})
+    return unpacked(decided, "row", columns, results | {"kept": ~F.col("base_failed") & (F.col("quality") >= KEEP_FROM)})
