@@ -1,7 +1,8 @@
 """Streaming forms of the replay and of the causal features.
 
-Sources are file streams. Every query runs with its own checkpoint below the shared folder and stops when the
-available files are read; results are read back as tables.
+Sources are file streams. Every query stops when the available files are read; results are read back as tables. State and results lie in
+the `root` that the caller gives: a later run with the same root goes on where the last one stopped. Without one, a run has a
+folder of its own below the shared folder.
 """
 
 from __future__ import annotations
@@ -31,13 +32,13 @@ def _run(writer: DataStreamWriter, checkpoint: str) -> None:
         query.stop()
 
 
-def _run_updates(df: DataFrame, keys: list[str], label: str) -> DataFrame:
+def _run_updates(df: DataFrame, keys: list[str], label: str, root: str | None = None) -> DataFrame:
     """Runs an aggregation in update mode and returns the last version of every key.
 
     Each batch writes its own folder, so a repeated batch replaces itself.
     """
     spark = df.sparkSession
-    base = fresh_path(spark, label)
+    base = root or fresh_path(spark, label)
 
     def store(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/rows/batch={number}")
@@ -49,7 +50,9 @@ def _run_updates(df: DataFrame, keys: list[str], label: str) -> DataFrame:
     return latest.select(*keys, "v.*")
 
 
-def scoreboard_stream(replay: DataFrame, lateness: str = "2 days", risk: str = "drisk", minutes: str = "dpdelay") -> DataFrame:
+def scoreboard_stream(
+    replay: DataFrame, lateness: str = "2 days", risk: str = "drisk", minutes: str = "dpdelay", root: str | None = None
+) -> DataFrame:
     """Hourly score board over a stream of scored trips; equals the batch board while nothing is later than allowed."""
     board = (
         with_landing_time(replay)
@@ -59,13 +62,13 @@ def scoreboard_stream(replay: DataFrame, lateness: str = "2 days", risk: str = "
         .withColumn("hour_start", F.col("w.start"))
         .drop("w")
     )
-    return _run_updates(board, ["hour_start"], "scoreboard")
+    return _run_updates(board, ["hour_start"], "scoreboard", root)
 
 
-def landings_stream(replay: DataFrame, lateness: str = "2 days") -> DataFrame:
+def landings_stream(replay: DataFrame, lateness: str = "2 days", root: str | None = None) -> DataFrame:
     """Landing feed: every trip once, repeated deliveries within the watermark are dropped."""
     spark = replay.sparkSession
-    base = fresh_path(spark, "landings")
+    base = root or fresh_path(spark, "landings")
     feed = (
         with_uid(with_landing_time(replay))
         .withWatermark("landed_at", lateness)
@@ -76,7 +79,7 @@ def landings_stream(replay: DataFrame, lateness: str = "2 days") -> DataFrame:
     return spark.read.parquet(f"{base}/rows")
 
 
-def hub_state_stream(trips: DataFrame, lateness: str = "2 days") -> DataFrame:
+def hub_state_stream(trips: DataFrame, lateness: str = "2 days", root: str | None = None) -> DataFrame:
     """Hub hours kept by a watermarked aggregation, then the recent state over the stored hours."""
     hours = (
         trips.withColumn("at", F.timestamp_add("HOUR", F.col("dep_hour"), F.col("flight_date").cast("timestamp")))
@@ -85,7 +88,7 @@ def hub_state_stream(trips: DataFrame, lateness: str = "2 days") -> DataFrame:
         .agg(F.count(F.lit(1)).alias("dep_congestion"), F.avg("dep_del15").alias("dep_rate"))
         .drop("window")
     )
-    return hub_state(_run_updates(hours, HUB_HOUR, "hub-hours"))
+    return hub_state(_run_updates(hours, HUB_HOUR, "hub-hours", root))
 
 
 class DailyLegs:
@@ -96,9 +99,9 @@ class DailyLegs:
     are dropped. Folders are keyed by batch and day: a repeated batch rewrites the same files.
     """
 
-    def __init__(self, spark: SparkSession, allowed_days: int = 1, heavy: HeavyGroups | None = HeavyGroups()):
+    def __init__(self, spark: SparkSession, allowed_days: int = 1, heavy: HeavyGroups | None = HeavyGroups(), root: str | None = None):
         self.spark, self.allowed, self.heavy = spark, allowed_days, heavy
-        base = fresh_path(spark, "legs")
+        base = root or fresh_path(spark, "legs")
         self.landing, self.out, self.checkpoint = f"{base}/landing", f"{base}/out", f"{base}/checkpoint"
 
     def _closed(self) -> DataFrame | None:

@@ -44,6 +44,18 @@ def test_landings_are_delivered_once(spark, tmp_path):
     assert live.landings_stream(stream(spark, tmp_path / "in", parts)).count() == 40
 
 
+def test_streams_go_on_from_their_root(spark, tmp_path):
+    rows = replay_rows(90)
+    first, rest = spark.createDataFrame(rows[:50], REPLAY), spark.createDataFrame(rows[40:], REPLAY)
+    board, feed = str(tmp_path / "board"), str(tmp_path / "feed")
+    begun = stream(spark, tmp_path / "in", [first])
+    assert live.scoreboard_stream(begun, root=board).agg(F.sum("landed")).first()[0] == 50
+    assert live.landings_stream(begun, root=feed).count() == 50
+    further = stream(spark, tmp_path / "in", [rest])
+    assert live.scoreboard_stream(further, root=board).agg(F.sum("landed")).first()[0] == 100  # the board counts deliveries
+    assert live.landings_stream(further, root=feed).count() == 90
+
+
 def legs(days, n=200):
     rng = random.Random(4)
     return [trip(i, rng.randrange(1440), tail=rng.choice(["N1", "N2", None]), arr_delay=float(rng.randrange(90)), day=DAY + dt.timedelta(days=rng.randrange(days))) for i in range(n)]
