@@ -74,11 +74,11 @@ def silhouette(df: DataFrame, columns: list[str], cluster: str, key: str, block_
     )
     others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     here = rows.withColumn("_other", others)
-    there = rows.select("_at", "_own", F.col("_block").alias("_other"), others.alias("_block"))
+    there = rows.select(F.col("_at").alias("_to"), F.col("_own").alias("_cluster"), F.col("_block").alias("_other"), others.alias("_block"))
 
     def summed(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        a, owner = np.stack(left["_at"]) if len(left) else np.empty((0, len(columns))), right["_own"].to_numpy()
-        b = np.stack(right["_at"]) if len(right) else np.empty((0, len(columns)))
+        a, owner = np.stack(left["_at"]) if len(left) else np.empty((0, len(columns))), right["_cluster"].to_numpy()
+        b = np.stack(right["_to"]) if len(right) else np.empty((0, len(columns)))
         out = np.zeros((len(a), len(labels)))
         for start in range(0, len(a), 256):
             gap = a[start : start + 256, None, :] - b[None, :, :]
