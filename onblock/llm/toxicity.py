@@ -9,10 +9,11 @@ regression on the votes with the posteriors as labels.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from bisect import bisect_left, insort
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import log
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +25,6 @@ from onblock.llm.labelled import fold, labelled_sample
 from onblock.llm.tables import settle, ship
 
 FIT_ROWS = 60_000
-CANDIDATES = 4_000
-LEXICON = 240
 STEMS = (4, 5, 6, 7, 8)
 THIN = 80
 MOST_CLEAN = 0.1
@@ -33,6 +32,7 @@ ROUNDS = 10
 SURE = 3.3
 LABEL_ACCURACY = 0.97
 COUNTED_AT_ONCE = 500_000
+BLOCK = 2_048
 WORDS = re.compile(r"[^\W\d_]+")
 
 # Words that insult in English, German, French and Spanish; learned words and stems come on top.
@@ -54,62 +54,59 @@ def signs(text: str) -> set[str]:
     return words.union(*({f"{w[:n]}-" for w in words if len(w) > n} for n in STEMS))
 
 
-def _counted(wanted: frozenset[str] | None):
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of (sign, toxic, clean) document counts, summed within the partition up to a bounded number of signs."""
+    counts: tuple[Counter, Counter] = (Counter(), Counter())
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: tuple[Counter, Counter] = (Counter(), Counter())
+    def flush() -> pa.RecordBatch:
+        keys = list(counts[0] | counts[1])
+        columns = [pa.array(keys, pa.string()), *(pa.array([c[k] for k in keys], pa.int64()) for c in reversed(counts))]
+        for c in counts:
+            c.clear()
+        return pa.RecordBatch.from_arrays(columns, names=["sign", "toxic", "clean"])
 
-        def flush() -> pa.RecordBatch:
-            keys = list(counts[0] | counts[1])
-            columns = [pa.array(keys, pa.string()), *(pa.array([c[k] for k in keys], pa.int64()) for c in reversed(counts))]
-            for c in counts:
-                c.clear()
-            return pa.RecordBatch.from_arrays(columns, names=["sign", "toxic", "clean"])
-
-        for batch in batches:
-            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                found = signs(text)
-                counts[label].update(found if wanted is None else found & wanted)
-                if len(counts[0]) + len(counts[1]) > COUNTED_AT_ONCE:
-                    yield flush()
-        yield flush()
-
-    return count
+    for batch in batches:
+        for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
+            counts[label].update(signs(text))
+            if len(counts[0]) + len(counts[1]) > COUNTED_AT_ONCE:
+                yield flush()
+    yield flush()
 
 
 def learn_lexicon(sample: DataFrame) -> list[str]:
-    """Up to LEXICON words and stems that mark toxic documents, best first.
+    """All words and stems that mark toxic documents, best first.
 
-    sample: text, label. Candidates are the CANDIDATES signs that most toxic documents hold; their clean documents are counted next.
-    A sign is kept if its share of toxic documents is MOST_CLEAN times that of the others by SURE standard errors; a longer form of a kept stem is left out, and so is a stem that is found as
-    often as a kept word that it begins.
+    sample: text, label. Every sign of the sample is counted. A sign is kept if at least 3 and 1 in 500 toxic documents hold it, and its share of
+    clean documents is at most MOST_CLEAN times that of the toxic ones and lower by SURE standard errors; a longer form of a kept stem is left out, and
+    so is a stem that is found as often as a kept word that it begins.
     """
-
-    def counts(rows: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
-        parts = rows.select("text", "label").mapInArrow(_counted(wanted), "sign string, toxic long, clean long")
-        return parts.groupBy("sign").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-
     totals = {row["label"]: row["count"] for row in sample.groupBy("label").count().collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not clean:
         return []
-    least = max(3, toxic // 500)
-    often = counts(sample.filter("label = 1"), None).filter(F.col("toxic") >= least)
-    candidates = frozenset(row["sign"] for row in often.orderBy(F.desc("toxic"), "sign").limit(CANDIDATES).collect())
-    rows = counts(sample, candidates).collect()
-    kept: list[tuple[str, int, int]] = []
-    share = lambda row: (row["clean"] + 0.5) / (clean + 1) / ((row["toxic"] + 0.5) / (toxic + 1))
-    for row in sorted(rows, key=lambda row: (-row["toxic"] * max(0.0, 1 - share(row) / MOST_CLEAN), len(row["sign"]), row["sign"])):
-        bare = row["sign"].rstrip("-")
-        longer = any(sign.endswith("-") and bare.startswith(sign[:-1]) for sign, *_ in kept)
-        explained = longer or any(sign.startswith(bare) and counts == [row["toxic"], row["clean"]] for sign, *counts in kept)
-        error = (1 / (row["toxic"] + 0.5) + 1 / (row["clean"] + 0.5)) ** 0.5
-        if share(row) <= MOST_CLEAN and -log(share(row)) >= SURE * error and row["toxic"] >= least and not explained:
-            kept.append((row["sign"], row["toxic"], row["clean"]))
-        if len(kept) == LEXICON:
-            break
-    return [sign for sign, *_ in kept]
+    parts = sample.select("text", "label").mapInArrow(_counted, "sign string, toxic long, clean long")
+    counts = parts.groupBy("sign").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    share = (F.col("clean") + 0.5) / F.lit(clean + 1.0) / ((F.col("toxic") + 0.5) / F.lit(toxic + 1.0))
+    error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
+    marking = (
+        counts.filter(F.col("toxic") >= max(3, toxic // 500))
+        .withColumn("share", share)
+        .filter((F.col("share") <= MOST_CLEAN) & (-F.log("share") >= SURE * error))
+    )
+    kept: list[str] = []
+    stems: set[str] = set()
+    alike: dict[tuple[int, int], list[str]] = defaultdict(list)  # kept signs by their counts, in order
+    for row in sorted(marking.collect(), key=lambda row: (-row["toxic"] * (1 - row["share"] / MOST_CLEAN), len(row["sign"]), row["sign"])):
+        sign, same = row["sign"], alike[row["toxic"], row["clean"]]
+        bare = sign.rstrip("-")
+        at = bisect_left(same, bare)
+        explained = any(f"{bare[:n]}-" in stems for n in STEMS) or (at < len(same) and same[at].startswith(bare))
+        if not explained:
+            kept.append(sign)
+            insort(same, sign)
+            if sign.endswith("-"):
+                stems.add(sign)
+    return kept
 
 
 @dataclass(frozen=True)
@@ -119,11 +116,18 @@ class Voters:
 
     lexicon: tuple[str, ...]
 
+    @cached_property
+    def places(self) -> dict[str, int]:
+        return {sign: i for i, sign in enumerate(self.lexicon)}
+
+    @cached_property
+    def stem_lengths(self) -> list[int]:
+        return sorted({len(sign) - 1 for sign in self.lexicon if sign.endswith("-")})
+
     def votes(self, text: str) -> bytes:
-        words = set(WORDS.findall(text.lower()))
-        at = {sign: i for i, sign in enumerate(self.lexicon)}
+        words, at = set(WORDS.findall(text.lower())), self.places
         found = {at[w] for w in words & at.keys()}
-        for n in {len(sign) - 1 for sign in self.lexicon if sign.endswith("-")}:
+        for n in self.stem_lengths:
             found |= {at[stem] for stem in {f"{w[:n]}-" for w in words if len(w) > n} & at.keys()}
         seeds = not words.isdisjoint(SEED_WORDS)
         few = bool(found) and len(words) > THIN * len(found)
@@ -139,7 +143,7 @@ class Voters:
     def matrix(self, votes: list[bytes]) -> np.ndarray:
         """A row of zeros and ones per vote pattern."""
         packed = np.frombuffer(b"".join(votes), np.uint8).reshape(len(votes), -1)
-        return np.unpackbits(packed, axis=1, count=self.width()).astype(np.float64)
+        return np.unpackbits(packed, axis=1, count=self.width())
 
 
 @dataclass(frozen=True)
@@ -150,7 +154,27 @@ class Model:
 
     def scores(self, texts: list[str]) -> np.ndarray:
         votes = self.voters.matrix([self.voters.votes(t) for t in texts])
-        return 1 / (1 + np.exp(-(votes @ self.weights + self.bias)))
+        return 1 / (1 + np.exp(-(_times(votes, self.weights) + self.bias)))
+
+
+def _blocks(votes: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """Some rows at a time as floats, as the whole would not fit for many voters."""
+    for start in range(0, len(votes), BLOCK):
+        rows = slice(start, start + BLOCK)
+        yield rows, votes[rows].astype(np.float64)
+
+
+def _times(votes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.zeros(0), *(block @ weights for _, block in _blocks(votes))])
+
+
+def _crossed(votes: np.ndarray, weight: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    """Weighted products of all pairs of columns less their centres."""
+    out = np.zeros((votes.shape[1], votes.shape[1]))
+    for rows, block in _blocks(votes):
+        block -= centre
+        out += (block * weight[rows, None]).T @ block
+    return out
 
 
 def label_model(votes: np.ndarray, n: np.ndarray, label: np.ndarray) -> np.ndarray:
@@ -168,28 +192,32 @@ def label_model(votes: np.ndarray, n: np.ndarray, label: np.ndarray) -> np.ndarr
         logs = []
         shared = np.ones(votes.shape[1])
         for weight in (n * posterior, n * (1 - posterior)):
-            rate = (weight @ votes + 0.5) / (weight.sum() + 1)
-            centred = votes - rate
-            spread = np.sqrt(np.maximum(weight @ centred**2, 1e-9))
-            together = (centred * weight[:, None]).T @ centred / np.outer(spread, spread)
+            fired = sum((weight[rows] @ block for rows, block in _blocks(votes)), np.zeros(votes.shape[1]))
+            rate = (fired + 0.5) / (weight.sum() + 1)
+            together = _crossed(votes, weight, rate)
+            spread = np.sqrt(np.maximum(np.diag(together), 1e-9))
+            together /= np.outer(spread, spread)
             shared = np.maximum(shared, np.clip(together, 0, 1).sum(axis=1))
             logs.append((np.log(rate), np.log1p(-rate)))
         (fires1, silent1), (fires0, silent0) = logs
-        evidence = votes * (fires1 - fires0) / shared + (1 - votes) * (silent1 - silent0) / shared
-        odds = np.log(max(prior, 1e-9)) - np.log(max(1 - prior, 1e-9)) + evidence.sum(axis=1) + labelled
+        silent = (silent1 - silent0) / shared
+        evidence = _times(votes, (fires1 - fires0) / shared - silent) + silent.sum()
+        odds = np.log(max(prior, 1e-9)) - np.log(max(1 - prior, 1e-9)) + evidence + labelled
         posterior = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
     return posterior
 
 
 def linear_classifier(votes: np.ndarray, n: np.ndarray, posterior: np.ndarray, penalty: float = 0.1) -> tuple[np.ndarray, float]:
     """Logistic regression on weighted patterns with soft labels, by Newton steps."""
-    x = np.hstack([votes, np.ones((len(votes), 1))])
+    x = np.hstack([votes, np.ones((len(votes), 1), votes.dtype)])
     w = np.zeros(x.shape[1])
     ridge = penalty * np.eye(x.shape[1])
     ridge[-1, -1] = 1e-6
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (n * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + ridge, x.T @ (n * (posterior - p)) - ridge @ w)
+        p = 1 / (1 + np.exp(-np.clip(_times(x, w), -30, 30)))
+        miss = n * (posterior - p)
+        slope = sum((miss[rows] @ block for rows, block in _blocks(x)), np.zeros(len(w)))
+        step = np.linalg.solve(_crossed(x, n * np.maximum(p * (1 - p), 1e-6), np.zeros(len(w))) + ridge, slope - ridge @ w)
         w = w + step * min(1.0, 4.0 / max(np.abs(step).max(), 1e-9))
         if np.abs(step).max() < 1e-6:
             break
@@ -199,7 +227,7 @@ def linear_classifier(votes: np.ndarray, n: np.ndarray, posterior: np.ndarray, p
 def fit(sample: DataFrame) -> Model | None:
     """Learns lexicon, label model and classifier from rows with text and label; None without both labels.
 
-    The sample is bounded, and so is what the driver gets from it: candidates, and one row per vote pattern of its documents.
+    The sample is bounded, and so is what the driver gets from it: the signs that mark toxic documents, and one row per vote pattern of its documents.
     """
     rows = settle(sample.select("text", "label"), "toxic-rows")
     if len(rows.select("label").distinct().collect()) < 2:

@@ -65,6 +65,16 @@ def test_toxicity_on_held_out_rows(corpus):
     assert any(sign.startswith("zunk") for sign in model.voters.lexicon)
 
 
+def test_every_marking_sign_is_in_the_lexicon(spark):
+    """300 rare insults, each in a tenth of the toxic documents, below thousands of more frequent ordinary signs."""
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefghijklm", k=9)) for _ in range(900)]
+    insults = ["z" + a + b for a in "nopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwx"][:300]
+    rows = [(" ".join(rng.sample(words, 200) + (insults[i % 10 :: 10] if i < 100 else [])), int(i < 100)) for i in range(1_100)]
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, label int"))
+    assert set(insults) <= set(lexicon)
+
+
 def test_normal_equations_equal_the_whole_matrix(spark, corpus):
     docs, labels = corpus
     sample = labelled_sample(docs, labels, "quality", F.lit(True), 10_000)
