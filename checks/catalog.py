@@ -618,8 +618,6 @@ def _routes(t):
 
 # ---- learners, clusters, scoring
 
-# The labels of the generated data carry no signal, so few rounds are enough to exercise the learners.
-BOOST_ROUNDS, MEDIAN_ROUNDS = 5, 4
 _FITTED: dict[tuple, object] = {}
 
 
@@ -640,19 +638,19 @@ def _dayof_split(t):
 
 
 def _booking(t):
-    return _once(t, "booking", lambda: learn.fit_booking(_booking_split(t)[0], "flight_id", BOOST_ROUNDS))
+    return _once(t, "booking", lambda: learn.fit_booking(_booking_split(t)[0], "flight_id"))
 
 
 def _dayof(t):
-    return _once(t, "dayof", lambda: learn.fit_dayof(_dayof_split(t)[0], "flight_id", BOOST_ROUNDS))
+    return _once(t, "dayof", lambda: learn.fit_dayof(_dayof_split(t)[0], "flight_id"))
 
 
 def _minutes(t):
-    return _once(t, "minutes", lambda: learn.fit_minutes(_booking_split(t)[0], "flight_id", False, MEDIAN_ROUNDS))
+    return _once(t, "minutes", lambda: learn.fit_minutes(_booking_split(t)[0], "flight_id"))
 
 
 def _dayof_minutes(t):
-    return _once(t, "dayof_minutes", lambda: learn.fit_minutes(_dayof_split(t)[0], "flight_id", True, MEDIAN_ROUNDS))
+    return _once(t, "dayof_minutes", lambda: learn.fit_minutes(_dayof_split(t)[0], "flight_id", True))
 
 
 def _models(t):
@@ -687,7 +685,7 @@ def gbt_median_minutes(t):
 @query
 def model_comparison(t):
     train, test = _booking_split(t)
-    table = _once(t, "comparison", lambda: learn.compare_models(train, test, "flight_id", BOOST_ROUNDS)[0])
+    table = _once(t, "comparison", lambda: learn.compare_models(train, test, "flight_id")[0])
     return table
 
 

@@ -8,11 +8,17 @@ per leaf to the driver.
 from __future__ import annotations
 
 import json
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from onblock.runtime import cut_lineage
@@ -27,11 +33,12 @@ class MedianBoost:
     trees: list[DecisionTreeRegressionModel] = field(default_factory=list)
     leaves: list[list[float]] = field(default_factory=list)
 
-    def transform(self, df: DataFrame, output: str = "prediction") -> DataFrame:
-        out = df.withColumn(output, F.lit(self.start))
-        for tree, values in zip(self.trees, self.leaves):
-            out = _add_tree(out, tree, values, self.step, output)
-        return out
+    def transform(self, df: DataFrame, output: str = "prediction", features: str = "features") -> DataFrame:
+        """Adds the prediction, from one flattened forest in one projection, whatever the number of trees."""
+        if not self.trees:
+            return df.withColumn(output, F.lit(self.start))
+        forest = [_flattened(tree.toDebugString, values) for tree, values in zip(self.trees, self.leaves, strict=True)]
+        return df.withColumn(output, _forest(self.start, self.step, forest)(vector_to_array(F.col(features))))
 
     def save(self, path: str) -> None:
         for i, tree in enumerate(self.trees):
@@ -52,6 +59,55 @@ def _spark():
     return SparkSession.active()
 
 
+def _flattened(text: str, values: list[float]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(feature, threshold, right child, value) of the nodes of a printed tree in preorder; a left child follows its parent, a leaf has feature -1.
+
+    Leaves are printed in the order of their numbers.
+    """
+    feature, threshold, right, value, open_ifs, leaf = [], [], [], [], [], 0
+    for line in text.splitlines():
+        if found := re.match(r"\s*If \(feature (\d+) <= (\S+)\)", line):
+            open_ifs.append(len(feature))
+            feature.append(int(found[1]))
+            threshold.append(float(found[2]))
+            value.append(0.0)
+        elif "Else (" in line:
+            right[open_ifs.pop()] = len(feature)
+            continue
+        elif "Predict:" in line:
+            feature.append(-1)
+            threshold.append(0.0)
+            value.append(values[leaf] if leaf < len(values) else 0.0)
+            leaf += 1
+        else:
+            continue
+        right.append(0)
+    if open_ifs or not leaf or (feature.count(-1) - 1) * 2 + 1 != len(feature):
+        raise ValueError(f"not a tree of numeric splits: {text[:200]}")
+    return np.array(feature), np.array(threshold), np.array(right), np.array(value)
+
+
+def _forest(start: float, step: float, trees: list):
+    """Arrow UDF from feature arrays to start plus step times the leaf values, tree by tree; a missing value goes right."""
+
+    @F.arrow_udf(T.DoubleType())
+    def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for rows in batches:
+            out = np.full(len(rows), start)
+            if len(rows):
+                x = np.array(rows.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(rows), -1)
+                each = np.arange(len(rows))
+                for feature, threshold, right, value in trees:
+                    at = np.zeros(len(rows), np.int64)
+                    while (inner := feature[at] >= 0).any():
+                        left = x[each, feature[at]] <= threshold[at]
+                        at = np.where(inner, np.where(left, at + 1, right[at]), at)
+                    out = out + step * value[at]
+            yield pa.array(out)
+
+    return predicted
+
+
 def _add_tree(df: DataFrame, tree, values: list[float], step: float, output: str) -> DataFrame:
     tree.setLeafCol("_leaf").setPredictionCol("_tree")
     at = F.coalesce(F.try_element_at(F.array(*[F.lit(v) for v in values]), F.col("_leaf").cast("int") + 1), F.lit(0.0))

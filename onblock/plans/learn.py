@@ -31,7 +31,7 @@ from onblock.runtime import shared_folder
 
 ROUNDS, STEP = 300, 0.1
 # The boosted learners stop splitting near 31 leaves and 20 rows per leaf.
-DEPTH, LEAF_ROWS, BINS = 5, 20, 64
+DEPTH, LEAF_ROWS, BINS = 5, 20, 255
 
 
 @dataclass

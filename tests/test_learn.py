@@ -1,8 +1,11 @@
+import inspect
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks import catalog
+from onblock.operators.boosting import _add_tree
 from onblock.operators.metrics import ranking_metrics
 from onblock.plans import learn
 from onblock.plans.frames import BOOKING_NUMBERS, LABEL, MINUTES
@@ -65,3 +68,37 @@ def test_ablation_improves(planted):
     found = learn.ablation(noise, test.withColumn("hint", F.col("minutes")), "flight_id", {"booking": [], "hint": ["hint"]}, max_iter=3)
     assert list(found) == ["booking", "hint"] and found["hint"] >= found["booking"]
     assert len(BOOKING_NUMBERS) == 9
+
+
+def test_forest_in_one_projection_equals_tree_by_tree(spark, planted):
+    train, test = planted
+    model = learn.fit_minutes(train, "flight_id", max_iter=8, step=0.3)
+    ready = learn._vector(model.encoding.transform(test, "_e_"), model.encoding.columns, model.numbers)
+    boost = model.learner
+    one_by_one = ready.withColumn("want", F.lit(boost.start))
+    for tree, values in zip(boost.trees, boost.leaves, strict=True):
+        one_by_one = _add_tree(one_by_one, tree, values, boost.step, "want")
+    both = boost.transform(one_by_one, "got")
+    assert both.filter(~F.col("got").eqNullSafe(F.col("want"))).count() == 0
+    plan = boost.transform(ready, "got")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_queries_train_all_rounds(monkeypatch):
+    asked = []
+    for name in ("fit_booking", "fit_dayof", "fit_minutes", "compare_models"):
+        known = inspect.signature(getattr(learn, name))
+
+        def fit(*args, known=known, **more):
+            call = known.bind(*args, **more)
+            call.apply_defaults()
+            asked.append(call.arguments["max_iter"])
+            return [None]
+
+        monkeypatch.setattr(learn, name, fit)
+    monkeypatch.setattr(catalog, "_once", lambda t, name, make: make())
+    monkeypatch.setattr(catalog, "_booking_split", lambda t: (None, None))
+    monkeypatch.setattr(catalog, "_dayof_split", lambda t: (None, None))
+    catalog._models(None)
+    catalog.model_comparison(None)
+    assert asked == [300] * 5
