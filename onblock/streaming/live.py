@@ -101,6 +101,7 @@ class DailyLegs:
 
     def __init__(self, spark: SparkSession, allowed_days: int = 1, heavy: HeavyGroups | None = HeavyGroups(), root: str | None = None):
         self.spark, self.allowed, self.heavy = spark, allowed_days, heavy
+        self.resumable = root is not None
         base = root or fresh_path(spark, "legs")
         self.landing, self.out, self.checkpoint = f"{base}/landing", f"{base}/out", f"{base}/checkpoint"
 
@@ -126,11 +127,28 @@ class DailyLegs:
             due = due.join(closed.select("flight_date").distinct(), "flight_date", "left_anti")
         _overwrite_partitions(previous_leg(due, heavy=self.heavy), ["flight_date"], self.out)
 
+    def _open(self) -> DataFrame | None:
+        """Landed rows of days that are not closed."""
+        if not target_exists(self.spark, self.landing):
+            return None
+        landed, closed = self.spark.read.parquet(self.landing).drop("batch"), self._closed()
+        return landed if closed is None else landed.join(closed.select("flight_date").distinct(), "flight_date", "left_anti")
+
     def run(self, trips: DataFrame) -> DataFrame:
-        """Reads the stream to its present end, closes every day, and returns the features."""
+        """Reads the stream to its present end and returns the features of all days.
+
+        Without a root of the caller every day is closed. With one, days within the allowance stay open for the next run: their features are
+        computed from the rows so far and returned, but not stored.
+        """
         _run(trips.writeStream.foreachBatch(self.take), self.checkpoint)
-        self.close(0)
-        return self.spark.read.parquet(self.out)
+        if not self.resumable:
+            self.close(0)
+            return self.spark.read.parquet(self.out)
+        closed, landed = self._closed(), self._open()
+        if landed is None:
+            return previous_leg(trips.sparkSession.createDataFrame([], trips.schema), heavy=self.heavy)
+        present = previous_leg(landed, heavy=self.heavy)
+        return present if closed is None else closed.unionByName(present)
 
 
 def _overwrite_partitions(df: DataFrame, by: list[str], path: str) -> None:

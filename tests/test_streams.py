@@ -72,6 +72,14 @@ def test_daily_legs_equal_batch_over_shuffled_files(spark, tmp_path):
     assert values(got) == values(previous_leg(trips(spark, rows)))
 
 
+def test_stopped_daily_legs_go_on_with_a_day_of_both_runs(spark, tmp_path):
+    rows = sorted(legs(3), key=lambda r: r[1])
+    for start, end in [(0, 100), (100, 170), (170, 200)]:
+        assert start == 0 or rows[start - 1][1] == rows[start][1]
+        got = live.DailyLegs(spark, root=str(tmp_path / "legs")).run(stream(spark, tmp_path / "in", [trips(spark, rows[start:end])]))
+        assert values(got) == values(previous_leg(trips(spark, rows[:end])))
+
+
 def test_rows_for_closed_days_are_late(spark, tmp_path):
     first = [trip(1, 100), trip(2, 200)]
     later = [trip(3, 100, day=DAY + dt.timedelta(days=5))]
