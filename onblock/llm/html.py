@@ -2,7 +2,8 @@
 
 Every block of a page gets its characters per tag, adjusted for links. The block whose child densities sum up highest is the core of the
 article; the least density between it and the body is the threshold that other parts of the page on that path have to reach.
-Parts that say what they are (navigation, adverts, forms, comments ...) are taken out before anything is counted.
+Parts that say what they are by element or role (navigation, forms ...) are taken out before anything is counted. Parts whose class or id
+names them so (adverts, comments ...) are taken out too, unless they hold the core of the whole page.
 """
 
 from __future__ import annotations
@@ -42,10 +43,10 @@ ship(__name__)
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "left_out", "text", "tags", "link_text", "link_tags", "density", "density_sum")
+    __slots__ = ("tag", "parent", "children", "left_out", "named", "text", "tags", "link_text", "link_tags", "density", "density_sum")
 
     def __init__(self, tag: str, parent: Node | None, left_out: bool = False):
-        self.tag, self.parent, self.left_out = tag, parent, left_out
+        self.tag, self.parent, self.left_out, self.named = tag, parent, left_out, False
         self.children: list[Node | str] = []
         self.text = self.link_text = self.tags = self.link_tags = 0
         self.density = self.density_sum = 0.0
@@ -60,10 +61,15 @@ def _left_out(tag: str, attributes: dict[str, str | None], parent: Node) -> bool
         while parent is not None and parent.tag not in WHOLE:
             parent = parent.parent
         return parent is None
+    return False
+
+
+def _named(tag: str, attributes: dict[str, str | None]) -> bool:
+    """Whether a class or the id is one of NAMES, or begins with one as its first part."""
     if tag in NEVER_BY_NAME and not (tag == "article" and "comment" in (attributes.get("class") or "")):
         return False
-    named = f"{attributes.get('class') or ''} {attributes.get('id') or ''}"
-    return any(word in NAMES for word in re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", named).lower()))
+    tokens = f"{attributes.get('class') or ''} {attributes.get('id') or ''}".split()
+    return any(re.match(r"[a-z]*", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", token).lower())[0] in NAMES for token in tokens)
 
 
 class Page(HTMLParser):
@@ -93,6 +99,7 @@ class Page(HTMLParser):
         if tag in ENDED_BY:
             self._close(ENDED_BY[tag], SCOPES[tag])
         node = Node(tag, self.at, self.at.left_out or _left_out(tag, dict(attrs), self.at))
+        node.named = not node.left_out and _named(tag, dict(attrs))
         self.at.children.append(node)
         self.nodes.append(node)
         if tag not in VOID:
@@ -115,6 +122,9 @@ class Page(HTMLParser):
 
 def _measure(page: Page) -> Node:
     """Fills in the densities, children before parents, and returns the body or else the root."""
+    for node in page.nodes:
+        node.text = node.link_text = node.tags = node.link_tags = 0
+        node.density = node.density_sum = 0.0
     for node in reversed(page.nodes):
         if node.left_out:
             continue
@@ -139,13 +149,27 @@ def _measure(page: Page) -> Node:
     return body
 
 
+def _core(page: Page) -> Node | None:
+    """The block whose child densities sum up highest; the first of equal ones, so the outermost."""
+    blocks = [n for n in page.nodes if n.text and not n.left_out and n.tag not in INLINE]
+    return max(blocks, key=lambda n: n.density_sum, default=None)
+
+
 def _selected(page: Page) -> set[int]:
     """Ids of the subtrees that make up the article."""
     body = _measure(page)
-    blocks = [n for n in page.nodes if n.text and not n.left_out and n.tag not in INLINE]
-    if not blocks:
+    core = _core(page)
+    if core is not None and any(n.named for n in page.nodes):
+        node = core
+        while node is not None:
+            node.named = False
+            node = node.parent
+        for n in page.nodes:  # parents before children
+            n.left_out = n.left_out or n.named or (n.parent is not None and n.parent.left_out)
+        body = _measure(page)
+        core = _core(page)
+    if core is None:
         return set()
-    core = max(blocks, key=lambda n: n.density_sum)  # the first of equal ones, so the outermost
     node: Node | None = core
     while node is not None:
         if node.tag in WHOLE:

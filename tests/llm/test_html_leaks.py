@@ -30,6 +30,11 @@ def test_article_of_a_page(page):
     assert main_text(page) == TEXT
 
 
+@pytest.mark.parametrize("named", ["class='layout with-sidebar'", "id=content class=has-sidebar", "class=post-widget", "id=search-results-explained", "class=widget"])
+def test_a_name_does_not_take_the_article_away(named):
+    assert main_text(f"<body><div class='ad'>Buy</div><div {named}>{ARTICLE}</div><div id='comment-list'><p>a comment</p></div>") == TEXT
+
+
 @pytest.mark.parametrize(
     ("page", "text"),
     [("", ""), ("plain", "plain"), ("<nav>only a menu</nav>", ""), ("<p>a<br>b</p>", "a\nb"), ("<ul><li>one<li>two</ul>", "one\ntwo"), ("<p>cut &am", "cut &am"), ("<div>" * 3_000 + "deep", "deep")],
