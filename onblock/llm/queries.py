@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from onblock.llm import pii, toxicity
+from onblock.llm.alignment import align
 from onblock.llm.bpe import decode, encode, read_tokenizer
 from onblock.llm.decontamination import contaminated
 from onblock.llm.html import extract
@@ -16,8 +17,10 @@ from onblock.llm.quality import fit_quality, score
 from onblock.llm.rules import judge
 from onblock.llm.sharding import shard
 from onblock.llm.simhash import as_hex, fingerprint, near_duplicates
+from onblock.llm.suffixes import repeat_digests
 from onblock.llm.tables import settle
 from onblock.llm.urls import url_verdicts
+from onblock.llm.variants import spelling_variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -137,6 +140,30 @@ def op3_toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+@query
+def op11_token_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of the byte-level and the piece vocabulary aligned in every document; align() states the rules."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        model = file.read()
+    aligned = align(table(spark, folder, "documents"), read_tokenizer(tokenizer_file()), model, digest=True)
+    counts = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    return aligned.select("doc_id", *counts, F.col("groups").alias("groups_sha256"))
+
+
+@query
+def op12_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """What documents lose to strings of 200 bytes that start elsewhere too; without_repeats() states the rules."""
+    return repeat_digests(table(spark, folder, "documents"))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents with their near words, forms and roots, after one letter in 97 (row, word) pairs was lost."""
+    return spelling_variants(table(spark, folder, "documents"), noise=97)
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from types import ModuleType
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -38,3 +39,14 @@ def unpacked(df: DataFrame, row: str, columns: list[str], results: dict[str, Col
 def ship(module: str) -> None:
     """Sends a module's worker functions along with the tasks, so that executors need not have the package installed."""
     cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
+def kept(name: str, make):
+    """What make() returns, made once in a worker process; worker functions are unpickled anew for every task, this is not."""
+    holder = sys.modules.setdefault("onblock_kept", ModuleType("onblock_kept"))
+    if not hasattr(holder, name):
+        setattr(holder, name, make())
+    return getattr(holder, name)
+
+
+ship(__name__)
