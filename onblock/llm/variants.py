@@ -3,7 +3,8 @@
 Letters are hashed to a few symbols. Every word generates the full one-edit neighbourhood of its reduced form (itself, all deletions,
 replacements and insertions over the symbols), which meets the reduced forms of the vocabulary in an equi-join. Words that meet are
 verified on their letters. A reduced word travels as its hash, so a neighbour costs eight bytes whatever its length: a collision, like
-a clash of letters in one symbol, only adds a pair that the verification drops.
+a clash of letters in one symbol, only adds a pair that the verification drops. Neighbours that no word has are dropped where they are
+made, by a bit map of the vocabulary's hashes that has FILTER_BITS bits whatever the vocabulary; the more bits are set, the more it lets by.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ SYMBOLS = 8
 WORDS_HELD = 200_000
 CHARACTERS_AT_ONCE = 1 << 22
 CELLS_AT_ONCE = 1 << 16
+FILTER_BITS = 1 << 26
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 VALUES = np.array([(0xD1B54A32D192ED03 * (2 * i + 1)) % (1 << 64) for i in range(256)], np.uint64)
@@ -153,11 +155,26 @@ def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _keyed(ids, reduced_keys(words, length))
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for ids, words, length in _by_length(batch):
-            for word, keys in neighbour_keys(words, length):
-                yield _keyed(ids[word], keys)
+def _bits_of(own: DataFrame) -> np.ndarray:
+    """A map with the bit of every key set; it is put together on the executors and has FILTER_BITS / 64 numbers at most."""
+    cell = F.shiftright("key", 6).bitwiseAND(F.lit(FILTER_BITS // 64 - 1))
+    bit = F.expr("shiftleft(1L, cast(key & 63 as int))")
+    cells = own.groupBy(cell.alias("cell")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    bits = np.zeros(FILTER_BITS // 64, np.uint64)
+    bits[cells["cell"].to_numpy()] = cells["bits"].to_numpy().view(np.uint64)
+    return bits
+
+
+def _neighbours(bits: np.ndarray):
+    def generate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ids, words, length in _by_length(batch):
+                for word, keys in neighbour_keys(words, length):
+                    cell = (keys >> np.uint64(6)) & np.uint64(len(bits) - 1)
+                    known = (bits[cell.astype(np.int64)] >> (keys & np.uint64(63))) & np.uint64(1) == 1
+                    yield _keyed(ids[word[known]], keys[known])
+
+    return generate
 
 
 def near_words(words: DataFrame) -> DataFrame:
@@ -167,8 +184,8 @@ def near_words(words: DataFrame) -> DataFrame:
     were counted before.
     """
     spread = words.select("id", "word").repartition(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    generated = spread.mapInArrow(_neighbours, "key long, id long")
     own = words.select("id", "word").mapInArrow(_own, "key long, id long").withColumnRenamed("id", "other_id")
+    generated = spread.mapInArrow(_neighbours(_bits_of(own)), "key long, id long")
     met = generated.join(own.hint("shuffle_merge"), "key").filter("id <> other_id").select("id", "other_id")
     left = words.select("id", F.col("word").alias("a"))
     right = words.select(F.col("id").alias("other_id"), F.col("word").alias("b"))
