@@ -19,12 +19,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from onblock.llm.tables import carried, quoted, settle, ship, unpacked
+from onblock.llm.tables import carried, quoted, settle, settle_by, ship, unpacked
 
 LENGTH = 200
 GRAM = 64
 #: Strings in a stretch at most; more stretches than this under a key, or than a share of all, make its hash come last.
-STRETCH, CROWD, CROWDS = 512, 20_000, 1_000_000
+STRETCH, CROWD, CROWDS = 512, 1_000, 1_000_000
 BYTES_AT_ONCE = 1 << 19
 BLOCK = 1 << 20
 WORD = 8
@@ -144,11 +144,11 @@ def _dealt(hashes: list[int]):
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         crowds = Crowds(hashes)
         for batch in batches:
-            number = batch.column(0).to_numpy()
             ends, joined = _bytes_of(batch.column(1))
             for owner, first, strings, key, again in stretches(ends, joined, crowds):
-                columns = [key.view(np.int64), number[owner], first.astype(np.int64), strings.astype(np.int32), again]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "number", "first", "strings", "again"])
+                columns = [key.view(np.int64), first.astype(np.int64), strings.astype(np.int32), again]
+                arrays = [batch.column(0).take(pa.array(owner)), *map(pa.array, columns)]
+                yield pa.RecordBatch.from_arrays(arrays, ["id", "key", "first", "strings", "again"])
 
     return deal
 
@@ -294,29 +294,29 @@ def repeats(texts: DataFrame) -> DataFrame:
 
     A text that occurs twice and has LENGTH bytes loses all of them. Every table between the steps is written to the shared folder.
     """
-    long = texts.select(text_digest(F.col("text")).alias("digest"), F.col("text").cast("binary").alias("bytes")).filter(F.octet_length("bytes") >= LENGTH)
-    distinct = long.groupBy("digest").agg(F.count("*").alias("copies"), F.first("bytes").alias("bytes"))
-    distinct = settle(distinct.withColumn("number", F.monotonically_increasing_id()), "distinct-texts")
+    whole = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    long = texts.select(F.unhex(F.md5(whole)).alias("id"), whole.alias("bytes")).filter(F.octet_length("bytes") >= LENGTH)
+    distinct = settle_by(long.groupBy("id").agg(F.count("*").alias("copies"), F.first("bytes").alias("bytes")), "distinct-texts", "id")
 
-    schema = "key long, number long, first long, strings int, again boolean"
-    dealt = settle(distinct.select("number", "bytes").mapInArrow(_dealt(crowded(distinct)), schema), "stretches")
+    schema = "id binary, key long, first long, strings int, again boolean"
+    dealt = settle(distinct.select("id", "bytes").mapInArrow(_dealt(crowded(distinct)), schema), "stretches")
     met = dealt.groupBy("key").agg(F.count("*").alias("n"), F.max("again").alias("again")).filter("n > 1 or again").select("key")
-    shared = dealt.drop("again").join(met, "key").groupBy("number").agg(F.collect_list(F.struct("key", "first", "strings")).alias("stretches"))
-    cut = distinct.select("number", "bytes").join(shared, "number").select("number", "bytes", F.explode("stretches").alias("s"))
-    piece = F.expr("substring(bytes, cast(s.first as int) + 1, s.strings + {})".format(LENGTH - 1))
-    pieces = cut.select("number", "s.key", "s.first", piece.alias("piece")).withColumn("digest", F.unhex(F.md5("piece")))
+    shared = dealt.drop("again").join(met, "key").groupBy("id").agg(F.collect_list(F.struct("key", "first", "strings")).alias("stretches"))
+    cut = distinct.select("id", "bytes").join(shared, "id").select("id", "bytes", F.explode("stretches").alias("s"))
+    piece = F.expr(f"substring(bytes, cast(s.first as int) + 1, s.strings + {LENGTH - 1})")
+    pieces = cut.select("id", "s.key", "s.first", piece.alias("piece")).withColumn("digest", F.unhex(F.md5("piece")))
     pieces = settle(pieces, "pieces")
 
     one = pieces.groupBy("key", "digest").agg(F.count("*").alias("copies"), F.first("piece").alias("piece"))
     sorted_rows = one.select("key", "digest", "copies", "piece").repartition("key").sortWithinPartitions("key")
     marks = settle(sorted_rows.mapInArrow(_sorted_blocks, "digest binary, firsts array<int>, lasts array<int>"), "marks")
-    found = pieces.select("number", "first", "digest").join(marks, "digest")
+    found = pieces.select("id", "first", "digest").join(marks, "digest")
     placed = F.transform(F.arrays_zip("firsts", "lasts"), lambda m: F.struct((F.col("first") + m["firsts"]).alias("a"), (F.col("first") + m["lasts"]).alias("b")))
-    spans = found.select("number", placed.alias("marks")).groupBy("number").agg(F.flatten(F.collect_list("marks")).alias("marks"))
+    spans = found.select("id", placed.alias("marks")).groupBy("id").agg(F.flatten(F.collect_list("marks")).alias("marks"))
 
-    whole = F.array(F.struct(F.lit(0).cast("long").alias("a"), (F.octet_length("bytes") - (LENGTH - 1)).cast("long").alias("b")))
-    losing = distinct.join(spans, "number", "left").filter("copies > 1 or marks is not null")
-    losing = losing.select("digest", "bytes", F.when(F.col("copies") > 1, whole).otherwise(F.col("marks")).alias("marks"))
+    all_of_it = F.array(F.struct(F.lit(0).cast("long").alias("a"), (F.octet_length("bytes") - (LENGTH - 1)).cast("long").alias("b")))
+    losing = distinct.join(spans, "id", "left").filter("copies > 1 or marks is not null")
+    losing = losing.select(F.sha2("bytes", 256).alias("digest"), "bytes", F.when(F.col("copies") > 1, all_of_it).otherwise(F.col("marks")).alias("marks"))
     return settle(losing.mapInArrow(_removed, "digest string, n_removed long, n_spans long, spans array<struct<start: long, end: long>>, kept binary"), "repeats")
 
 

@@ -24,6 +24,14 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settle_by(df: DataFrame, label: str, key: str) -> DataFrame:
+    """Like settle, as a table below the shared folder whose buckets are the shuffle partitions of key: joins on it leave these rows where they are."""
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, label)
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).option("path", path).format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
 def carried(df: DataFrame) -> Column:
     """All columns as one struct, so that working columns cannot clash with them."""
     return F.struct(*[quoted(c) for c in df.columns])
