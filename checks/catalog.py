@@ -638,23 +638,19 @@ def _dayof_split(t):
 
 
 def _booking(t):
-    return _once(t, "booking", lambda: learn.fit_booking(_booking_split(t)[0], "flight_id"))
+    return _models(t).booking
 
 
 def _dayof(t):
-    return _once(t, "dayof", lambda: learn.fit_dayof(_dayof_split(t)[0], "flight_id"))
+    return _models(t).dayof
 
 
 def _minutes(t):
-    return _once(t, "minutes", lambda: learn.fit_minutes(_booking_split(t)[0], "flight_id"))
-
-
-def _dayof_minutes(t):
-    return _once(t, "dayof_minutes", lambda: learn.fit_minutes(_dayof_split(t)[0], "flight_id", True))
+    return _models(t).booking_minutes
 
 
 def _models(t):
-    return learn.Models(_booking(t), _minutes(t), _dayof(t), _dayof_minutes(t))
+    return _once(t, "models", lambda: learn.fit_models(_booking_split(t)[0], _dayof_split(t)[0], "flight_id"))
 
 
 @query
@@ -685,8 +681,13 @@ def gbt_median_minutes(t):
 @query
 def model_comparison(t):
     train, test = _booking_split(t)
-    table = _once(t, "comparison", lambda: learn.compare_models(train, test, "flight_id")[0])
-    return table
+    return learn.compare_models(train, test, "flight_id", _booking(t))
+
+
+@query
+def feature_ablation(t):
+    train, test = _dayof_split(t)
+    return learn.ablation(train, test, "flight_id").select("features", "n_features", r("auc", 4))
 
 
 def _hubs(t):

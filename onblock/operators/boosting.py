@@ -1,155 +1,620 @@
-"""Gradient boosting of the median (least absolute deviation, Friedman 2001).
+"""Gradient boosting on histograms, leaf by leaf, for any number of models in the same passes over their rows.
 
-Spark's tree learner grows each tree on the sign of the residual; every leaf then gets the median residual of its
-rows, which the built-in boosted regressor does not do. Rows stay on the executors, a round returns at most one value
-per leaf to the driver.
+Rows are binned once into blocks of one byte per feature. A job brings, for all models at once, the gradient histograms of the nodes
+whose splits are still unknown: partitions sum them for the smaller child of every split, the larger one is the parent less its
+sibling. Trees grow best first to MAX_LEAVES leaves; since a job explores the whole frontier, a tree takes about as many jobs as it
+is deep, and models growing side by side share them. Missing values go to the side that gains more.
+
+Leaves of the logistic loss hold Newton steps, those of the absolute loss exact medians: one job brings evenly spaced residuals of
+every leaf and block, which bracket all medians, a second one the residuals in the brackets.
+
+These are many small passes over the same rows that change one number a row each round, which data frames would plan anew every time;
+so the blocks are an RDD, each round's a narrow map of the last, persisted and checkpointed in the shared folder every few rounds.
+Rows that fit into one block grow their trees where the block is, by the same steps.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
-import re
-from collections.abc import Iterator
+import pickle
+import sys
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
-from pyspark.sql import DataFrame
+from pyspark import RDD, cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
-from onblock.runtime import cut_lineage
+from onblock.runtime import shared_folder
+
+LOGISTIC, ABSOLUTE = "logistic", "absolute"
+MAX_LEAVES, LEAF_ROWS, BINS = 31, 20, 255
+LEAST_HESSIAN = 1e-3
+MISSING = 255
+BLOCK_ROWS = 250_000
+SAMPLES = 256
+CHECKPOINT_EVERY = 25
+DIRECT_BLOCKS = 16
+EDGE_ACCURACY = 10_000
+
+# Worker functions travel with the tasks, so executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-MEDIAN_ACCURACY = 10_000
+
+@dataclass(frozen=True)
+class Task:
+    """One model to grow: its loss, label column and feature columns. Rows without a label take no part."""
+
+    loss: str
+    label: str
+    features: list[str]
 
 
 @dataclass
-class MedianBoost:
+class Tree:
+    """Nodes from the root on; a leaf has feature -1. Rows go left up to the threshold, missing values where missing_left says."""
+
+    feature: list[int]
+    threshold: list[float]
+    cut: list[int]
+    missing_left: list[bool]
+    left: list[int]
+    right: list[int]
+    value: list[float]
+
+
+@dataclass
+class Boosted:
+    """A grown model; transform adds the probability (logistic) or the predicted value (absolute)."""
+
+    loss: str
+    features: list[str]
     start: float
     step: float
-    trees: list[DecisionTreeRegressionModel] = field(default_factory=list)
-    leaves: list[list[float]] = field(default_factory=list)
+    trees: list[Tree] = field(default_factory=list)
 
-    def transform(self, df: DataFrame, output: str = "prediction", features: str = "features") -> DataFrame:
-        """Adds the prediction, from one flattened forest in one projection, whatever the number of trees."""
-        if not self.trees:
-            return df.withColumn(output, F.lit(self.start))
-        forest = [_flattened(tree.toDebugString, values) for tree, values in zip(self.trees, self.leaves, strict=True)]
-        return df.withColumn(output, _forest(self.start, self.step, forest)(vector_to_array(F.col(features))))
+    def transform(self, df: DataFrame, output: str = "prediction", columns: list[str] | None = None) -> DataFrame:
+        """Adds the prediction from all trees in one projection. columns names the features in df, by default as in training."""
+        values = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in columns or self.features])
+        return df.withColumn(output, _forest(self)(values))
 
-    def save(self, path: str) -> None:
-        for i, tree in enumerate(self.trees):
-            tree.write().overwrite().save(f"{path}/tree-{i:04d}")
-        text = json.dumps({"start": self.start, "step": self.step, "leaves": self.leaves})
-        _spark().createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/values")
+    def to_json(self) -> str:
+        return json.dumps({**vars(self), "trees": [vars(t) for t in self.trees]})
 
     @staticmethod
-    def load(path: str) -> MedianBoost:
-        saved = json.loads(_spark().read.text(f"{path}/values").first()[0])
-        trees = [DecisionTreeRegressionModel.load(f"{path}/tree-{i:04d}") for i in range(len(saved["leaves"]))]
-        return MedianBoost(saved["start"], saved["step"], trees, saved["leaves"])
-
+    def from_json(text: str) -> Boosted:
+        saved = json.loads(text)
+        return Boosted(**{**saved, "trees": [Tree(**t) for t in saved["trees"]]})
 
-def _spark():
-    from pyspark.sql import SparkSession
-
-    return SparkSession.active()
+    def save(self, path: str) -> None:
+        SparkSession.active().createDataFrame([(self.to_json(),)], "value string").write.mode("overwrite").text(path)
 
+    @staticmethod
+    def load(path: str) -> Boosted:
+        rows = SparkSession.active().read.option("wholetext", True).text(path)
+        return Boosted.from_json(rows.filter("length(value) > 1").first()[0])
 
-def _flattened(text: str, values: list[float]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(feature, threshold, right child, value) of the nodes of a printed tree in preorder; a left child follows its parent, a leaf has feature -1.
 
-    Leaves are printed in the order of their numbers.
-    """
-    feature, threshold, right, value, open_ifs, leaf = [], [], [], [], [], 0
-    for line in text.splitlines():
-        if found := re.match(r"\s*If \(feature (\d+) <= (\S+)\)", line):
-            open_ifs.append(len(feature))
-            feature.append(int(found[1]))
-            threshold.append(float(found[2]))
-            value.append(0.0)
-        elif "Else (" in line:
-            right[open_ifs.pop()] = len(feature)
+def _leaf_of(tree: Tree, columns: Callable[[int], np.ndarray], n: int, cuts: list, missing: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """The leaf that each of n rows reaches; rows of a node are split together."""
+    out = np.zeros(n, np.int32)
+    waiting = [(0, np.arange(n))]
+    while waiting:
+        node, rows = waiting.pop()
+        if tree.feature[node] < 0 or not len(rows):
+            out[rows] = node
             continue
-        elif "Predict:" in line:
-            feature.append(-1)
-            threshold.append(0.0)
-            value.append(values[leaf] if leaf < len(values) else 0.0)
-            leaf += 1
-        else:
-            continue
-        right.append(0)
-    if open_ifs or not leaf or (feature.count(-1) - 1) * 2 + 1 != len(feature):
-        raise ValueError(f"not a tree of numeric splits: {text[:200]}")
-    return np.array(feature), np.array(threshold), np.array(right), np.array(value)
+        x = columns(tree.feature[node])[rows]
+        goes_left = x <= cuts[node]
+        lost = missing(x)
+        if lost.any():
+            goes_left[lost] = tree.missing_left[node]
+        waiting += [(tree.left[node], rows[goes_left]), (tree.right[node], rows[~goes_left])]
+    return out
 
 
-def _forest(start: float, step: float, trees: list):
-    """Arrow UDF from feature arrays to start plus step times the leaf values, tree by tree; a missing value goes right."""
+def _forest(model: Boosted):
+    """Arrow UDF from an array of feature values to the prediction."""
 
     @F.arrow_udf(T.DoubleType())
     def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        values = [np.array(t.value) for t in model.trees]
         for rows in batches:
-            out = np.full(len(rows), start)
+            raw = np.full(len(rows), model.start)
             if len(rows):
-                x = np.array(rows.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(rows), -1)
-                each = np.arange(len(rows))
-                for feature, threshold, right, value in trees:
-                    at = np.zeros(len(rows), np.int64)
-                    while (inner := feature[at] >= 0).any():
-                        left = x[each, feature[at]] <= threshold[at]
-                        at = np.where(inner, np.where(left, at + 1, right[at]), at)
-                    out = out + step * value[at]
-            yield pa.array(out)
+                x = np.asfortranarray(np.array(rows.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(rows), -1))
+                for tree, value in zip(model.trees, values, strict=True):
+                    raw += model.step * value[_leaf_of(tree, lambda f: x[:, f], len(rows), tree.threshold, np.isnan)]
+            yield pa.array(_probability(raw) if model.loss == LOGISTIC else raw)
 
     return predicted
 
 
-def _add_tree(df: DataFrame, tree, values: list[float], step: float, output: str) -> DataFrame:
-    tree.setLeafCol("_leaf").setPredictionCol("_tree")
-    at = F.coalesce(F.try_element_at(F.array(*[F.lit(v) for v in values]), F.col("_leaf").cast("int") + 1), F.lit(0.0))
-    return tree.transform(df).withColumn(output, F.col(output) + step * at).drop("_leaf", "_tree")
+def _probability(raw: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(raw, -500, 500)))
+
+
+def bin_edges(df: DataFrame, features: list[str], bins: int = BINS) -> tuple[int, list[np.ndarray]]:
+    """The number of rows, and for every feature the upper bounds of all bins but the last, from one aggregate."""
+    at = [i / bins for i in range(1, bins)]
+    edges = [F.percentile_approx(F.nanvl(F.col(f).cast("double"), F.lit(None).cast("double")), at, EDGE_ACCURACY) for f in features]
+    n, *found = df.agg(F.count(F.lit(1)), *edges).first()
+    return n, [np.unique(np.array(bounds or [], np.float64)) for bounds in found]
+
+
+def _binned(edges: list[np.ndarray], n_labels: int):
+    """Batches of features and labels -> pickled blocks of bins (a row a feature) and labels."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, list[np.ndarray]]] = []
+
+        def block() -> pa.RecordBatch:
+            bins = np.concatenate([b for b, _ in held], axis=1)
+            labels = [np.concatenate(parts) for parts in zip(*(y for _, y in held), strict=True)]
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([pickle.dumps((bins, labels))], pa.binary())], ["block"])
+
+        for batch in batches:
+            columns = [batch.column(i).cast(pa.float64()).to_numpy(zero_copy_only=False) for i in range(len(edges) + n_labels)]
+            bins = np.empty((len(edges), batch.num_rows), np.uint8)
+            for row, x, bounds in zip(bins, columns, edges, strict=False):
+                row[:] = np.where(np.isnan(x), MISSING, np.searchsorted(bounds, x))
+            held.append((bins, columns[len(edges) :]))
+            if sum(b.shape[1] for b, _ in held) >= BLOCK_ROWS:
+                yield block()
+        if held:
+            yield block()
+
+    return build
+
+
+@dataclass
+class _Growing:
+    """A model while it grows: what the driver knows of its current tree."""
+
+    task: Task
+    data: int  # which of the row sets
+    number: int  # which label of that set
+    columns: list[int]  # its features among those of the set
+    edges: list[np.ndarray]
+    model: Boosted
+    max_leaves: int
+    min_rows: int
+    nodes: list[dict] = field(default_factory=list)
+    done: bool = False
+
+    def plant(self) -> None:
+        self.nodes, self.done = [{"depth": 0}], False
+
+    def asked(self) -> list[int]:
+        """Nodes whose histograms a job has to bring: the root, or the smaller child of every newly split node."""
+        if "hist" not in self.nodes[0]:
+            return [0]
+        return [min((n["left"], n["right"]), key=lambda c: self.nodes[c]["n"]) for n in self.nodes if "left" in n and "hist" not in self.nodes[n["left"]]]
+
+    def shape(self) -> Tree:
+        """The explored nodes as a tree on bins."""
+        inner = ["left" in n for n in self.nodes]
+        pick = lambda name, none: [n[name] if ok else none for n, ok in zip(self.nodes, inner, strict=True)]
+        return Tree(pick("feature", -1), [0.0] * len(inner), pick("cut", 0), pick("missing_left", False), pick("left", 0), pick("right", 0), [])
+
+    def take(self, found: dict[int, np.ndarray]) -> None:
+        """Histograms of the asked nodes; siblings follow by subtraction, and the frontier is split as far as leaves may be left."""
+        for node, hist in found.items():
+            self._learn(node, hist)
+        for n in self.nodes:
+            if "left" in n:
+                left, right = n["left"], n["right"]
+                for known, other in ((left, right), (right, left)):
+                    if "hist" in self.nodes[known] and "hist" not in self.nodes[other]:
+                        self._learn(other, n["hist"] - self.nodes[known]["hist"])
+        chosen, open_nodes, blocked = self._best_first()
+        self.done = not blocked
+        if blocked:
+            room = self.max_leaves - 1 - len(chosen)
+            for node in sorted(open_nodes, key=lambda i: (-self.nodes[i]["gain"], i))[: room + len(blocked)]:
+                self._split(node)
+
+    def _learn(self, node: int, hist: np.ndarray) -> None:
+        n = self.nodes[node]
+        n["hist"] = hist
+        n["n"], n["g"], n["h"] = hist[:, 0].sum(axis=1)
+        n |= best_split(hist, self.min_rows) if n["n"] >= 2 * self.min_rows else {"gain": 0.0}
+
+    def _split(self, node: int) -> None:
+        n = self.nodes[node]
+        if "left" not in n:
+            n["left"], n["right"] = len(self.nodes), len(self.nodes) + 1
+            self.nodes += [{"n": n["n_left"], "depth": n["depth"] + 1}, {"n": n["n"] - n["n_left"], "depth": n["depth"] + 1}]
+
+    def _best_first(self) -> tuple[list[int], list[int], list[int]]:
+        """Splits in best-first order as far as gains are known; open nodes worth exploring; those that hold the order up."""
+        heap, chosen, blocked = [], [], []
+        push = lambda i: self.nodes[i]["gain"] > 0 and heapq.heappush(heap, (-self.nodes[i]["gain"], i))
+        push(0)
+        open_nodes = []
+        while heap and len(chosen) < self.max_leaves - 1:
+            _, node = heapq.heappop(heap)
+            chosen.append(node)
+            n = self.nodes[node]
+            if "left" in n and "hist" in self.nodes[n["left"]]:
+                push(n["left"])
+                push(n["right"])
+            else:
+                open_nodes.append(node)
+                # With the last leaf given the children's gains no longer matter.
+                if len(chosen) < self.max_leaves - 1:
+                    blocked.append(node)
+        return chosen, open_nodes, blocked
+
+    def tree(self) -> Tree:
+        """The final tree: the best-first splits and their leaves, with Newton steps as values."""
+        chosen = set(self._best_first()[0])
+        for node in chosen:
+            self._split(node)
+        order, waiting = [], [0]
+        while waiting:
+            node = waiting.pop()
+            order.append(node)
+            if node in chosen:
+                waiting += [self.nodes[node]["right"], self.nodes[node]["left"]]
+        at = {node: i for i, node in enumerate(order)}
+        out = Tree([], [], [], [], [], [], [])
+        for node in order:
+            n = self.nodes[node]
+            inner = node in chosen
+            edges = self.edges[self.columns[n["feature"]]] if inner else ()
+            out.feature.append(n["feature"] if inner else -1)
+            out.cut.append(n["cut"] if inner else 0)
+            # A cut behind the last bin parts missing values from all others.
+            out.threshold.append(float(edges[n["cut"]]) if inner and n["cut"] < len(edges) else float("inf"))
+            out.missing_left.append(bool(n["missing_left"]) if inner else False)
+            out.left.append(at[n["left"]] if inner else 0)
+            out.right.append(at[n["right"]] if inner else 0)
+            parent_split = None if inner else self._sums(node)
+            out.value.append(0.0 if inner else float(-parent_split[0] / max(parent_split[1], 1e-12)))
+        return out
+
+    def _sums(self, node: int) -> tuple[float, float]:
+        """Gradient and hessian of a leaf; those of an unexplored child follow from its parent's histogram."""
+        n = self.nodes[node]
+        if "g" in n:
+            return n["g"], n["h"]
+        parent = next(p for p in self.nodes if node in (p.get("left"), p.get("right")))
+        _, g, h = parent["sums_left"]
+        return (g, h) if node == parent["left"] else (parent["g"] - g, parent["h"] - h)
+
+
+def best_split(hist: np.ndarray, min_rows: int) -> dict:
+    """gain, feature, cut, missing_left, n_left and sums_left of the best split of a histogram ((rows, gradient, hessian), feature, bin).
+
+    Ties go to the first feature, missing values to the right first, the first cut. gain is 0 if no split leaves min_rows on both sides.
+    """
+    n, g, h = hist[:, 0].sum(axis=1)
+    whole = g * g / max(h, 1e-12)
+    upto = np.cumsum(hist[:, :, :MISSING], axis=2)
+    sides = [upto, upto + hist[:, :, MISSING, None]] if hist[0, :, MISSING].any() else [upto]
+    best: dict = {"gain": 0.0}
+    found = (1e-12 * max(1.0, abs(whole)), 0, 0, 0)
+    for side, (rows, left_g, left_h) in enumerate(sides):
+        right_g, right_h = g - left_g, h - left_h
+        ok = (rows >= min_rows) & (n - rows >= min_rows) & (left_h >= LEAST_HESSIAN) & (right_h >= LEAST_HESSIAN)
+        gain = np.full(rows.shape, -1.0)
+        gain[ok] = left_g[ok] ** 2 / left_h[ok] + right_g[ok] ** 2 / right_h[ok] - whole
+        if not gain.size:
+            continue
+        feature, cut = np.unravel_index(int(np.argmax(gain)), gain.shape)
+        key = (float(gain[feature, cut]), -int(feature), -side, -int(cut))
+        if key[0] > found[0] or (best["gain"] and key > found):
+            sums = tuple(float(x[feature, cut]) for x in (rows, left_g, left_h))
+            found = key
+            if upto[0, feature, cut] == upto[0, feature, -1]:  # parts missing values from all others, also from larger ones than were seen
+                cut = MISSING - 1
+            best = {"gain": key[0], "feature": int(feature), "cut": int(cut), "missing_left": bool(side), "n_left": sums[0], "sums_left": sums}
+    return best
+
+
+# ---- what runs on a block: (set, bins, labels, running predictions)
+
+
+def _gradients(loss: str, y: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+    if loss == LOGISTIC:
+        p = _probability(raw)
+        return p - y, p * (1 - p)
+    return np.sign(raw - y), None
+
+
+def _reached(tree: Tree, bins: np.ndarray, columns: list[int]) -> np.ndarray:
+    return _leaf_of(tree, lambda f: bins[columns[f]], bins.shape[1], tree.cut, lambda x: x == MISSING)
+
 
+def _histograms(plans: list[tuple]):
+    def count(blocks: Iterator[tuple]) -> Iterator[dict]:
+        out: dict[tuple[int, int], np.ndarray] = {}
+        for data, bins, labels, raws in blocks:
+            for m, (of, number, loss, columns, tree, asked) in enumerate(plans):
+                if of != data or not asked:
+                    continue
+                y, raw = labels[number], raws[number]
+                slot = np.full(len(tree.feature), -1, np.int64)
+                slot[asked] = np.arange(len(asked))
+                at = slot[_reached(tree, bins, columns)]
+                rows = np.flatnonzero((at >= 0) & ~np.isnan(y))
+                g, h = _gradients(loss, y[rows], raw[rows])
+                base, size = at[rows] << 8, len(asked) << 8
+                hist = np.empty((3, len(columns), size))
+                for k, c in enumerate(columns):
+                    cell = base | bins[c][rows]
+                    hist[0, k] = np.bincount(cell, minlength=size)
+                    hist[1, k] = np.bincount(cell, weights=g, minlength=size)
+                    hist[2, k] = hist[0, k] if h is None else np.bincount(cell, weights=h, minlength=size)
+                parts = hist.reshape(3, len(columns), len(asked), 256)
+                for i, node in enumerate(asked):
+                    key = (m, node)
+                    out[key] = out[key] + parts[:, :, i] if key in out else np.ascontiguousarray(parts[:, :, i])
+        yield out
 
-def fit_median_boost(
-    df: DataFrame,
-    label: str,
-    features: str = "features",
+    return count
+
+
+def _added(a: dict, b: dict) -> dict:
+    return a | {k: a[k] + v if k in a else v for k, v in b.items()}
+
+
+def _listed(a: dict, b: dict) -> dict:
+    return a | {k: a.get(k, []) + v for k, v in b.items()}
+
+
+def _by_leaf(plans: list[tuple], blocks: Iterator[tuple]) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
+    """Sorted residuals of every (model, leaf) of every block."""
+    for data, bins, labels, raws in blocks:
+        for m, (of, number, columns, tree) in enumerate(plans):
+            if of == data:
+                known = ~np.isnan(labels[number])
+                left = (labels[number] - raws[number])[known]
+                leaf = _reached(tree, bins, columns)[known]
+                order = np.lexsort((left, leaf))
+                cuts = np.flatnonzero(np.diff(leaf[order])) + 1
+                for rows in np.split(order, cuts):
+                    if len(rows):
+                        yield (m, int(leaf[rows[0]])), left[rows]
+
+
+def _spaced(plans: list[tuple]):
+    def sample(blocks: Iterator[tuple]) -> Iterator[dict]:
+        out: dict = {}
+        for key, values in _by_leaf(plans, blocks):
+            at = np.unique(np.linspace(0, len(values) - 1, min(SAMPLES, len(values))).astype(np.int64))
+            out.setdefault(key, []).append((len(values), at, values[at]))
+        yield out
+
+    return sample
+
+
+def _between(plans: list[tuple], brackets: dict[tuple[int, int], tuple[float, float]]):
+    def collect(blocks: Iterator[tuple]) -> Iterator[dict]:
+        out: dict = {}
+        for key, values in _by_leaf(plans, blocks):
+            if key in brackets:
+                low, high = brackets[key]
+                a, b = np.searchsorted(values, low, "left"), np.searchsorted(values, high, "right")
+                out.setdefault(key, []).append((int(a), *np.unique(values[a:b], return_counts=True)))
+        yield out
+
+    return collect
+
+
+def bracket(samples: list[tuple[int, np.ndarray, np.ndarray]]) -> tuple[float, float]:
+    """Values between which the median must lie, given each block's size and the values at some of its ranks, ends included."""
+    n = sum(size for size, _, _ in samples)
+    candidates = np.unique(np.concatenate([values for _, _, values in samples]))
+    below_at_most, upto_at_least = np.zeros(len(candidates), np.int64), np.zeros(len(candidates), np.int64)
+    for size, ranks, values in samples:
+        ends = np.append(ranks, size)
+        below_at_most += ends[np.searchsorted(values, candidates, "left")]
+        upto_at_least += np.append(0, ranks + 1)[np.searchsorted(values, candidates, "right")]
+    low = candidates[np.flatnonzero(below_at_most <= (n - 1) // 2)[-1]] if (below_at_most <= (n - 1) // 2).any() else candidates[0]
+    high = candidates[np.flatnonzero(upto_at_least >= n // 2 + 1)[0]]
+    return float(low), float(high)
+
+
+def median_of(n: int, parts: list[tuple[int, np.ndarray, np.ndarray]]) -> float:
+    """The median of n values of which some lie below, and the counted ones of all blocks hold the middle."""
+    below = sum(a for a, _, _ in parts)
+    values, counts = (np.concatenate([p[i] for p in parts]) for i in (1, 2))
+    order = np.argsort(values, kind="stable")
+    upto = below + np.cumsum(counts[order])
+    pick = lambda rank: values[order][np.searchsorted(upto, rank, "right")]
+    return float((pick((n - 1) // 2) + pick(n // 2)) / 2)
+
+
+def _moved(steps: list[tuple]):
+    """The block with one more tree in its running predictions."""
+
+    def move(block: tuple) -> tuple:
+        data, bins, labels, raws = block
+        raws = list(raws)
+        for of, number, columns, tree, step in steps:
+            if of == data:
+                raws[number] = raws[number] + step * np.array(tree.value)[_reached(tree, bins, columns)]
+        return data, bins, labels, raws
+
+    return move
+
+
+class _Spread:
+    """Blocks of all sets on the executors; every pass over them is a job."""
+
+    def __init__(self, blocks: RDD):
+        self.blocks, self.last, self.moves = blocks.persist(StorageLevel.MEMORY_AND_DISK), None, 0
+
+    def gathered(self, work, merge) -> dict:
+        """The merged results of all blocks; beyond a few blocks executors merge them first."""
+        results = self.blocks.mapPartitions(work)
+        if results.getNumPartitions() <= DIRECT_BLOCKS:
+            return reduce(merge, results.collect(), {})
+        return results.treeReduce(merge)
+
+    def move(self, steps: list[tuple]) -> None:
+        self.drop(self.last)
+        self.last, self.moves = self.blocks, self.moves + 1
+        self.blocks = self.last.map(_moved(steps)).persist(StorageLevel.MEMORY_AND_DISK)
+        if self.moves % CHECKPOINT_EVERY == 0:
+            self.blocks.checkpoint()
+
+    def drop(self, *held: RDD | None) -> None:
+        for blocks in held:
+            if blocks is not None:
+                blocks.unpersist()
+
+
+class _Here:
+    """Blocks in this very process."""
+
+    def __init__(self, blocks: list[tuple]):
+        self.blocks = blocks
+
+    def gathered(self, work, merge) -> dict:
+        return reduce(merge, work(iter(self.blocks)), {})
+
+    def move(self, steps: list[tuple]) -> None:
+        self.blocks = list(map(_moved(steps), self.blocks))
+
+
+def _medians(blocks: _Spread | _Here, plans: list[tuple]) -> dict[tuple[int, int], float]:
+    """The exact median residual of every (model, leaf); one pass if the samples hold all residuals, else two."""
+    samples = blocks.gathered(_spaced(plans), _listed)
+    n = {key: sum(size for size, _, _ in parts) for key, parts in samples.items()}
+    whole = {key for key, parts in samples.items() if all(size == len(ranks) for size, ranks, _ in parts)}
+    found = {key: median_of(n[key], [(0, values, np.ones(len(values), np.int64)) for _, _, values in samples[key]]) for key in whole}
+    brackets = {key: bracket(parts) for key, parts in samples.items() if key not in whole}
+    if brackets:
+        parts = blocks.gathered(_between(plans, brackets), _listed)
+        found |= {key: median_of(n[key], parts[key]) for key in brackets}
+    return found
+
+
+def _with_start(blocks: _Spread | _Here, growing: list[_Growing]) -> None:
+    """The constants that rows start with: log-odds of the label, or its median."""
+    root = Tree([-1], [0.0], [0], [False], [0], [0], [0.0])
+    plans = [(g.data, g.number, [], root) for g in growing]
+    middle = _medians(blocks, plans) if any(g.task.loss == ABSOLUTE for g in growing) else {}
+    sums = blocks.gathered(_label_sums, _added)
+    for m, g in enumerate(growing):
+        if g.task.loss == ABSOLUTE:
+            g.model.start = middle.get((m, 0), 0.0)
+        elif (g.data, g.number) in sums:
+            n, positive = sums[g.data, g.number]
+            share = min(max(positive / n, 1e-9), 1 - 1e-9) if n else 0.5
+            g.model.start = float(np.log(share / (1 - share)))
+    blocks.move([(g.data, g.number, [], Tree([-1], [0.0], [0], [False], [0], [0], [g.model.start]), 1.0) for g in growing])
+
+
+def _label_sums(blocks: Iterator[tuple]) -> Iterator[dict]:
+    out: dict = {}
+    for data, _, labels, _ in blocks:
+        for number, y in enumerate(labels):
+            sums = np.array([(~np.isnan(y)).sum(), np.nansum(y)])
+            out[data, number] = out[data, number] + sums if (data, number) in out else sums
+    yield out
+
+
+def _grow(blocks: _Spread | _Here, growing: list[_Growing], rounds: int) -> None:
+    """All rounds of all models over the same passes."""
+    _with_start(blocks, growing)
+    for _ in range(rounds):
+        for g in growing:
+            g.plant()
+        while not all(g.done for g in growing):
+            asked = [[] if g.done else g.asked() for g in growing]
+            plans = [(g.data, g.number, g.task.loss, g.columns, g.shape(), a) for g, a in zip(growing, asked, strict=True)]
+            found = blocks.gathered(_histograms(plans), _added)
+            for m, (g, a) in enumerate(zip(growing, asked, strict=True)):
+                if not g.done:
+                    none = np.zeros((3, len(g.columns), 256))
+                    g.take({node: found.get((m, node), none) for node in a})
+        trees = [g.tree() for g in growing]
+        absolute = [m for m, g in enumerate(growing) if g.task.loss == ABSOLUTE]
+        if absolute:
+            middle = _medians(blocks, [(growing[m].data, growing[m].number, growing[m].columns, trees[m]) for m in absolute])
+            for i, m in enumerate(absolute):
+                trees[m].value = [middle.get((i, node), 0.0) if f < 0 else 0.0 for node, f in enumerate(trees[m].feature)]
+        for g, tree in zip(growing, trees, strict=True):
+            g.model.trees.append(tree)
+        blocks.move([(g.data, g.number, g.columns, tree, g.model.step) for g, tree in zip(growing, trees, strict=True)])
+
+
+def _grown_here(growing: list[_Growing], rounds: int):
+    """Task that grows the models of a set whose rows are all in one block."""
+
+    def grow(blocks: Iterator[tuple]) -> Iterator[tuple[int, list[str]]]:
+        held = list(blocks)
+        for data in sorted({b[0] for b in held}):
+            own = [g for g in growing if g.data == data]
+            _grow(_Here([b for b in held if b[0] == data]), own, rounds)
+            yield data, [g.model.to_json() for g in own]
+
+    return grow
+
+
+def fit_boosted(
+    sets: list[tuple[DataFrame, list[Task]]],
     rounds: int = 300,
     step: float = 0.1,
-    max_depth: int = 5,
-    min_rows: int = 20,
-    max_bins: int = 64,
-    seed: int = 0,
-    settle_every: int = 10,
-) -> MedianBoost:
-    """Boosts `rounds` trees; the running prediction is checkpointed every few rounds to keep plans short."""
-    known = df.filter(F.col(label).isNotNull()).select(features, F.col(label).cast("double").alias("_y"))
-    start = known.agg(F.percentile_approx("_y", 0.5, MEDIAN_ACCURACY)).first()[0]
-    boost = MedianBoost(float(start), step)
-    rows = cut_lineage(known.withColumn("_at", F.lit(boost.start)))
-    for i in range(rounds):
-        work = rows.withColumn("_sign", F.signum(F.col("_y") - F.col("_at"))).persist(StorageLevel.MEMORY_AND_DISK)
-        tree = DecisionTreeRegressor(
-            featuresCol=features,
-            labelCol="_sign",
-            leafCol="_leaf",
-            predictionCol="_tree",
-            maxDepth=max_depth,
-            minInstancesPerNode=min_rows,
-            maxBins=max_bins,
-            seed=seed + i,
-        ).fit(work)
-        middle = F.percentile_approx(F.col("_y") - F.col("_at"), 0.5, MEDIAN_ACCURACY)
-        found = {int(r[0]): float(r[1]) for r in tree.transform(work).groupBy("_leaf").agg(middle).collect()}
-        values = [found.get(leaf, 0.0) for leaf in range(max(found) + 1)]
-        boost.trees.append(tree)
-        boost.leaves.append(values)
-        rows = _add_tree(rows, tree, values, step, "_at")
-        if (i + 1) % settle_every == 0:
-            rows = cut_lineage(rows)
-        work.unpersist()
-    return boost
+    max_leaves: int = MAX_LEAVES,
+    min_rows: int = LEAF_ROWS,
+    max_bins: int = BINS,
+    block_rows: int = BLOCK_ROWS,
+) -> list[list[Boosted]]:
+    """Grows the models of all row sets, `rounds` trees each; those of one set share every pass over its rows.
+
+    A set is a table and the tasks on it; its rows are binned once, over the features of all its tasks. Null and NaN features are
+    missing values, rows without a task's label do not count for it, a task whose labels are all alike only keeps its start, and
+    the models of a set without rows have no trees.
+
+    Sets of more than block_rows rows grow side by side, a job a level; the driver holds the histograms of one tree a model, never
+    rows. A set of one block has nothing to sum over blocks, so its levels need no jobs: one task does the same steps beside the block.
+    """
+    spark = sets[0][0].sparkSession
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(shared_folder(spark))
+    growing: dict[int, list[_Growing]] = {}
+    blocks: dict[int, RDD] = {}
+    for data, (df, tasks) in enumerate(sets):
+        features = list(dict.fromkeys(f for t in tasks for f in t.features))
+        labels = [F.col(t.label).cast("double").alias(f"_label{i}") for i, t in enumerate(tasks)]
+        rows = df.select(*[F.col(f).cast("double").alias(f"_feature{i}") for i, f in enumerate(features)], *labels)
+        n, edges = bin_edges(rows, [f"_feature{i}" for i in range(len(features))], max_bins)
+        dealt = rows.repartition(max(1, -(-n // block_rows))).mapInArrow(_binned(edges, len(tasks)), "block binary")
+        blocks[data] = dealt.rdd.map(lambda row, data=data: _unpacked(data, row[0]))
+        models = [Boosted(t.loss, list(t.features), 0.0, step) for t in tasks]
+        growing[data] = [
+            _Growing(t, data, i, [features.index(f) for f in t.features], edges, m, max_leaves, min_rows)
+            for i, (t, m) in enumerate(zip(tasks, models, strict=True))
+        ]
+    whole = [data for data, part in blocks.items() if part.getNumPartitions() == 1]
+    out = {data: [g.model for g in own] for data, own in growing.items()}
+    if whole:
+        here = [g for data in whole for g in growing[data]]
+        grown = sc.union([blocks[data] for data in whole]).mapPartitions(_grown_here(here, rounds)).collect()
+        out |= {data: [Boosted.from_json(text) for text in texts] for data, texts in grown}
+    if spread := [data for data in blocks if data not in whole]:
+        binned = sc.union([blocks[data] for data in spread]).persist(StorageLevel.MEMORY_AND_DISK)
+        binned.checkpoint()
+        passes = _Spread(binned)
+        _grow(passes, [g for data in spread for g in growing[data]], rounds)
+        passes.drop(passes.blocks, passes.last, binned)
+    return [out[data] for data in range(len(sets))]
+
+
+def _unpacked(data: int, block: bytes) -> tuple:
+    """A block before the first move: (set, bins, labels, running predictions)."""
+    bins, labels = pickle.loads(block)
+    return data, bins, labels, [np.zeros(bins.shape[1]) for _ in labels]

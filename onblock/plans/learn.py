@@ -2,24 +2,24 @@
 
 from __future__ import annotations
 
-import time
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from onblock.operators.boosting import MedianBoost, fit_median_boost
+from onblock.operators.boosting import ABSOLUTE, LOGISTIC, Boosted, Task, fit_boosted
 from onblock.operators.encode import SettledEncoding, fit_settled_encoding
 from onblock.operators.metrics import binary_metrics
 from onblock.plans.frames import (
     BOOKING_NUMBERS,
     CATEGORIES,
+    DAYOF_EXTRA,
     DAYOF_NUMBERS,
     LABEL,
     MINUTE_CATEGORIES,
@@ -27,41 +27,32 @@ from onblock.plans.frames import (
     ONE_HOT,
     majority_baseline,
 )
-from onblock.runtime import shared_folder
 
 ROUNDS, STEP = 300, 0.1
-# The boosted learners stop splitting near 31 leaves and 20 rows per leaf.
-DEPTH, LEAF_ROWS, BINS = 5, 20, 255
+# The groups of features added one after another in the ablation.
+ABLATION = {"booking": [], "previous leg": DAYOF_EXTRA[:1], "congestion and turnaround": DAYOF_EXTRA[1:3], "network state": DAYOF_EXTRA[3:]}
 
 
 @dataclass
 class DelayModel:
-    """Target encoding, feature vector and learner of one model; `transform` adds the score column."""
+    """Target encoding, further features and learner of one model; `transform` adds the score column."""
 
     encoding: SettledEncoding
     numbers: list[str]
-    learner: GBTClassificationModel | MedianBoost
+    learner: Boosted
 
     def transform(self, df: DataFrame, output: str) -> DataFrame:
-        ready = _vector(self.encoding.transform(df, "_e_"), self.encoding.columns, self.numbers)
-        if isinstance(self.learner, MedianBoost):
-            scored = self.learner.transform(ready, output)
-        else:
-            scored = self.learner.transform(ready).withColumn(output, vector_to_array("probability")[1])
-        return scored.select(*df.columns, output)
+        encoded = self.encoding.transform(df, "_e_")
+        return self.learner.transform(encoded, output, _features(self.encoding.columns, self.numbers)).select(*df.columns, output)
 
     def save(self, path: str) -> None:
         encoding = self.encoding
-        encoding.plain.coalesce(1).write.mode("overwrite").parquet(f"{path}/encoding")
-        kind = "minutes" if isinstance(self.learner, MedianBoost) else "risk"
-        meta = [(kind, encoding.columns, self.numbers, encoding.mean, encoding.folds)]
+        encoding.plain.write.mode("overwrite").parquet(f"{path}/encoding")
+        meta = [(encoding.columns, self.numbers, encoding.mean, encoding.folds)]
         SparkSession.active().createDataFrame(
-            meta, "kind string, categories array<string>, numbers array<string>, mean double, folds int"
+            meta, "categories array<string>, numbers array<string>, mean double, folds int"
         ).write.mode("overwrite").json(f"{path}/meta")
-        if isinstance(self.learner, MedianBoost):
-            self.learner.save(f"{path}/learner")
-        else:
-            self.learner.write().overwrite().save(f"{path}/learner")
+        self.learner.save(f"{path}/learner")
 
     @staticmethod
     def load(path: str) -> DelayModel:
@@ -69,8 +60,7 @@ class DelayModel:
         meta = spark.read.json(f"{path}/meta").first()
         plain = spark.read.parquet(f"{path}/encoding")
         encoding = SettledEncoding.of(list(meta["categories"]), plain, None, meta["mean"], meta["folds"])
-        load = MedianBoost.load if meta["kind"] == "minutes" else GBTClassificationModel.load
-        return DelayModel(encoding, list(meta["numbers"]), load(f"{path}/learner"))
+        return DelayModel(encoding, list(meta["numbers"]), Boosted.load(f"{path}/learner"))
 
 
 @dataclass
@@ -83,63 +73,77 @@ class Models:
     dayof_minutes: DelayModel
 
 
-def _vector(df: DataFrame, categories: list[str], numbers: list[str]) -> DataFrame:
-    inputs = [f"{c}_e_" for c in categories] + numbers
-    return VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep").transform(
-        df.withColumns({c: F.col(c).cast("double") for c in numbers})
-    )
+@dataclass(frozen=True)
+class Wanted:
+    """A model to fit: its training rows, categories, further features by model name, and target."""
 
+    train: DataFrame
+    categories: list[str]
+    numbers: dict[str, list[str]]
+    label: str
+    loss: str
 
-def _fit(train: DataFrame, categories: list[str], numbers: list[str], label: str, key: str, learn) -> DelayModel:
-    # Both the encoding and the encoded rows read the training frame, with its windows and joins behind it.
-    needed = dict.fromkeys([key, *categories, *numbers, label])
-    train = train.select(*needed).persist(StorageLevel.MEMORY_AND_DISK)
-    rows = None
+
+def _features(categories: list[str], numbers: list[str]) -> list[str]:
+    return [f"{c}_e_" for c in categories] + numbers
+
+
+def fit_side_by_side(wanted: list[Wanted], key: str, rounds: int = ROUNDS, step: float = STEP) -> dict[str, DelayModel]:
+    """Encodes each set of training rows once and grows all models in the same passes."""
+    kept, sets, made = [], [], []
     try:
-        encoding = fit_settled_encoding(train, categories, label, key)
-        encoded = _vector(encoding.transform_training(train, key, "_e_"), categories, numbers)
-        rows = encoded.select("features", F.col(label).cast("double").alias(label)).persist(StorageLevel.MEMORY_AND_DISK)
-        return DelayModel(encoding, numbers, learn(rows))
+        for w in wanted:
+            numbers = list(dict.fromkeys(n for names in w.numbers.values() for n in names))
+            # Both the encoding and the encoded rows read the training frame, with its windows and joins behind it.
+            train = w.train.select(*dict.fromkeys([key, *w.categories, *numbers, w.label])).persist(StorageLevel.MEMORY_AND_DISK)
+            kept.append(train)
+            encoding = fit_settled_encoding(train, w.categories, w.label, key)
+            rows = encoding.transform_training(train, key, "_e_").select(*_features(w.categories, numbers), w.label)
+            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+            kept.append(rows)
+            sets.append((rows, [Task(w.loss, w.label, _features(w.categories, names)) for names in w.numbers.values()]))
+            made.append(encoding)
+        grown = fit_boosted(sets, rounds, step)
     finally:
-        for kept in (rows, train):
-            if kept is not None:
-                kept.unpersist()
+        for frame in kept:
+            frame.unpersist()
+    return {
+        name: DelayModel(encoding, names, learner)
+        for w, encoding, learners in zip(wanted, made, grown, strict=True)
+        for (name, names), learner in zip(w.numbers.items(), learners, strict=True)
+    }
 
 
-def _classifier(rows: DataFrame, max_iter: int, step: float, seed: int) -> GBTClassificationModel:
-    spark = rows.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return GBTClassifier(
-        labelCol=LABEL,
-        maxIter=max_iter,
-        stepSize=step,
-        maxDepth=DEPTH,
-        minInstancesPerNode=LEAF_ROWS,
-        maxBins=BINS,
-        seed=seed,
-        checkpointInterval=10,
-    ).fit(rows)
+def _risk(train: DataFrame, **numbers: list[str]) -> Wanted:
+    return Wanted(train, CATEGORIES, numbers, LABEL, LOGISTIC)
 
 
-def fit_booking(train: DataFrame, key: str, max_iter: int = ROUNDS, step: float = STEP, seed: int = 0) -> DelayModel:
-    return _fit(train, CATEGORIES, BOOKING_NUMBERS, LABEL, key, lambda r: _classifier(r, max_iter, step, seed))
+def _minutes(train: DataFrame, **numbers: list[str]) -> Wanted:
+    return Wanted(train.filter(F.col(MINUTES).isNotNull()), MINUTE_CATEGORIES, numbers, MINUTES, ABSOLUTE)
 
 
-def fit_dayof(train: DataFrame, key: str, max_iter: int = ROUNDS, step: float = STEP, seed: int = 0) -> DelayModel:
-    return _fit(train, CATEGORIES, DAYOF_NUMBERS, LABEL, key, lambda r: _classifier(r, max_iter, step, seed))
+def fit_booking(train: DataFrame, key: str, rounds: int = ROUNDS, step: float = STEP) -> DelayModel:
+    return fit_side_by_side([_risk(train, booking=BOOKING_NUMBERS)], key, rounds, step)["booking"]
 
 
-def fit_minutes(
-    train: DataFrame, key: str, dayof: bool = False, max_iter: int = ROUNDS, step: float = STEP, seed: int = 0
-) -> DelayModel:
+def fit_dayof(train: DataFrame, key: str, rounds: int = ROUNDS, step: float = STEP) -> DelayModel:
+    return fit_side_by_side([_risk(train, dayof=DAYOF_NUMBERS)], key, rounds, step)["dayof"]
+
+
+def fit_minutes(train: DataFrame, key: str, dayof: bool = False, rounds: int = ROUNDS, step: float = STEP) -> DelayModel:
     """Median minutes on the bounded delay; pass a `hash_sample` of the training rows to bound the fit."""
-    numbers = DAYOF_NUMBERS if dayof else BOOKING_NUMBERS
-    known = train.filter(F.col(MINUTES).isNotNull())
-    learn = lambda r: fit_median_boost(
-        r, MINUTES, rounds=max_iter, step=step, max_depth=DEPTH, min_rows=LEAF_ROWS, max_bins=BINS, seed=seed
-    )
-    return _fit(known, MINUTE_CATEGORIES, numbers, MINUTES, key, learn)
+    return fit_side_by_side([_minutes(train, minutes=DAYOF_NUMBERS if dayof else BOOKING_NUMBERS)], key, rounds, step)["minutes"]
+
+
+def fit_models(booking: DataFrame, dayof: DataFrame, key: str, rounds: int = ROUNDS, step: float = STEP) -> Models:
+    """All four models, grown side by side from the booking and the day-of training rows."""
+    wanted = [
+        _risk(booking, booking=BOOKING_NUMBERS),
+        _minutes(booking, booking_minutes=BOOKING_NUMBERS),
+        _risk(dayof, dayof=DAYOF_NUMBERS),
+        _minutes(dayof, dayof_minutes=DAYOF_NUMBERS),
+    ]
+    return Models(**fit_side_by_side(wanted, key, rounds, step))
 
 
 def fit_logistic(train: DataFrame, max_iter: int = 300, strength: float = 1.0) -> PipelineModel:
@@ -166,43 +170,37 @@ def logistic_scores(model: PipelineModel, df: DataFrame, output: str = "logistic
     return scored.select(*df.columns, output)
 
 
-def compare_models(
-    train: DataFrame, test: DataFrame, key: str, max_iter: int = ROUNDS, step: float = STEP, seed: int = 0
-) -> tuple[DataFrame, DelayModel]:
-    """Baseline, logistic regression and boosted trees on the same split, with training seconds; and the booking model."""
+def compare_models(train: DataFrame, test: DataFrame, key: str, booking: DelayModel | None = None, rounds: int = ROUNDS, step: float = STEP) -> DataFrame:
+    """Baseline, logistic regression and boosted trees on the same split; booking is the boosted model if it is fitted already."""
     rate = train.agg(F.avg(LABEL)).first()[0]
-    started = time.time()
-    logistic = fit_logistic(train)
-    logistic_seconds = time.time() - started
-    started = time.time()
-    booking = fit_booking(train, key, max_iter, step, seed)
-    booking_seconds = time.time() - started
+    booking = booking or fit_booking(train, key, rounds, step)
     rows = [
-        (majority_baseline(train, test), "baseline", "majority", None),
-        (logistic_scores(logistic, test), "logistic", "logistic regression", logistic_seconds),
-        (booking.transform(test, "risk"), "risk", "boosted trees", booking_seconds),
-    ]
-    parts = [
-        binary_metrics(scored, LABEL, column, rate, name).withColumn(
-            "train_seconds", F.lit(None if seconds is None else round(seconds, 1)).cast("double")
-        )
-        for scored, column, name, seconds in rows
+        (majority_baseline(train, test), "baseline", "majority"),
+        (logistic_scores(fit_logistic(train), test), "logistic", "logistic regression"),
+        (booking.transform(test, "risk"), "risk", "boosted trees"),
     ]
-    return reduce(DataFrame.unionByName, parts), booking
+    return reduce(DataFrame.unionByName, [binary_metrics(scored, LABEL, column, rate, name) for scored, column, name in rows])
 
 
 def ablation(
-    train: DataFrame, test: DataFrame, key: str, groups: dict[str, list[str]], max_iter: int = ROUNDS, seed: int = 0
-) -> dict[str, float]:
-    """AUC after adding each group of features to the booking features, in order."""
+    train: DataFrame, test: DataFrame, key: str, groups: dict[str, list[str]] | None = None, rounds: int = ROUNDS, step: float = STEP
+) -> DataFrame:
+    """features, n_features and auc after each group of features was added to the booking features, in order.
+
+    All models grow side by side on the same binned rows.
+    """
     from onblock.operators.metrics import ranking_metrics
 
-    numbers, found = list(BOOKING_NUMBERS), {}
-    for name, extra in groups.items():
+    numbers, steps = list(BOOKING_NUMBERS), {}
+    for name, extra in (ABLATION if groups is None else groups).items():
         numbers = numbers + extra
-        model = _fit(train, CATEGORIES, numbers, LABEL, key, lambda r: _classifier(r, max_iter, STEP, seed))
-        found[name] = ranking_metrics(model.transform(test, "risk"), LABEL, "risk").first()["auc"]
-    return found
+        steps[name] = numbers
+    fitted = fit_side_by_side([_risk(train, **steps)], key, rounds, step)
+    found = []
+    for name, names in steps.items():
+        scored = ranking_metrics(fitted[name].transform(test, "risk"), LABEL, "risk")
+        found.append(scored.select(F.lit(name).alias("features"), F.lit(len(CATEGORIES) + len(names)).alias("n_features"), "auc"))
+    return reduce(DataFrame.unionByName, found)
 
 
 class Registry:

@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import catalog
-from onblock.operators.boosting import _add_tree
 from onblock.operators.metrics import ranking_metrics
 from onblock.plans import learn
 from onblock.plans.frames import BOOKING_NUMBERS, LABEL, MINUTES
@@ -31,7 +30,8 @@ def planted(spark):
 
 def test_classifiers_beat_chance_and_survive_saving(spark, planted, tmp_path):
     train, test = planted
-    table, booking = learn.compare_models(train, test, "flight_id", max_iter=8, step=0.3)
+    booking = learn.fit_booking(train, "flight_id", rounds=8, step=0.3)
+    table = learn.compare_models(train, test, "flight_id", booking)
     rows = {r["model"]: r for r in table.collect()}
     assert rows["majority"]["auc"] == 0.5 and rows["logistic regression"]["auc"] > 0.52
     assert rows["boosted trees"]["auc"] > 0.9 > rows["logistic regression"]["auc"]
@@ -52,7 +52,7 @@ def test_unknown_codes_still_score(spark, planted):
 
 def test_median_regressor_beats_the_constant_median(spark, planted, tmp_path):
     train, test = planted
-    model = learn.fit_minutes(train, "flight_id", max_iter=12, step=0.3)
+    model = learn.fit_minutes(train, "flight_id", rounds=12, step=0.3)
     scored = model.transform(test, "guess").persist()
     middle = train.agg(F.percentile_approx(MINUTES, 0.5)).first()[0]
     got, flat = scored.agg(F.avg(F.abs(F.col("guess") - F.col(MINUTES))), F.avg(F.abs(F.lit(middle) - F.col(MINUTES)))).first()
@@ -62,43 +62,41 @@ def test_median_regressor_beats_the_constant_median(spark, planted, tmp_path):
     assert again.agg(F.sum("guess")).first()[0] == pytest.approx(scored.agg(F.sum("guess")).first()[0])
 
 
-def test_ablation_improves(planted):
+def test_ablation_equals_separate_fits(planted):
     train, test = planted
-    noise = train.withColumn("hint", F.col("minutes"))
-    found = learn.ablation(noise, test.withColumn("hint", F.col("minutes")), "flight_id", {"booking": [], "hint": ["hint"]}, max_iter=3)
-    assert list(found) == ["booking", "hint"] and found["hint"] >= found["booking"]
+    train, test = (df.withColumn("hint", F.col("minutes")) for df in (train, test))
+    rows = learn.ablation(train, test, "flight_id", {"booking": [], "hint": ["hint"]}, rounds=4).collect()
+    assert [(r["features"], r["n_features"]) for r in rows] == [("booking", 14), ("hint", 15)]
+    alone = ranking_metrics(learn.fit_booking(train, "flight_id", rounds=4).transform(test, "risk"), LABEL, "risk").first()["auc"]
+    assert rows[0]["auc"] == pytest.approx(alone) and rows[1]["auc"] > 0.99 > rows[0]["auc"]
     assert len(BOOKING_NUMBERS) == 9
 
 
-def test_forest_in_one_projection_equals_tree_by_tree(spark, planted):
+def test_four_models_side_by_side_equal_each_alone(planted):
     train, test = planted
-    model = learn.fit_minutes(train, "flight_id", max_iter=8, step=0.3)
-    ready = learn._vector(model.encoding.transform(test, "_e_"), model.encoding.columns, model.numbers)
-    boost = model.learner
-    one_by_one = ready.withColumn("want", F.lit(boost.start))
-    for tree, values in zip(boost.trees, boost.leaves, strict=True):
-        one_by_one = _add_tree(one_by_one, tree, values, boost.step, "want")
-    both = boost.transform(one_by_one, "got")
-    assert both.filter(~F.col("got").eqNullSafe(F.col("want"))).count() == 0
-    plan = boost.transform(ready, "got")._jdf.queryExecution().optimizedPlan().toString()
+    train, test = (df.withColumns({c: F.col("dep_hour") % (i + 2) for i, c in enumerate(learn.DAYOF_EXTRA)}) for df in (train, test))
+    models = learn.fit_models(train, train, "flight_id", rounds=3)
+    alone = learn.Models(
+        learn.fit_booking(train, "flight_id", rounds=3),
+        learn.fit_minutes(train, "flight_id", rounds=3),
+        learn.fit_dayof(train, "flight_id", rounds=3),
+        learn.fit_minutes(train, "flight_id", dayof=True, rounds=3),
+    )
+    for name, model in vars(models).items():
+        both = vars(alone)[name].transform(model.transform(test, "x"), "y")
+        assert both.filter("abs(x - y) > 1e-9").count() == 0
+
+
+def test_scoring_is_one_projection(planted):
+    train, test = planted
+    model = learn.fit_minutes(train, "flight_id", rounds=3)
+    plan = model.transform(test, "got")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
 
 
-def test_queries_train_all_rounds(monkeypatch):
-    asked = []
-    for name in ("fit_booking", "fit_dayof", "fit_minutes", "compare_models"):
-        known = inspect.signature(getattr(learn, name))
-
-        def fit(*args, known=known, **more):
-            call = known.bind(*args, **more)
-            call.apply_defaults()
-            asked.append(call.arguments["max_iter"])
-            return [None]
-
-        monkeypatch.setattr(learn, name, fit)
-    monkeypatch.setattr(catalog, "_once", lambda t, name, make: make())
-    monkeypatch.setattr(catalog, "_booking_split", lambda t: (None, None))
-    monkeypatch.setattr(catalog, "_dayof_split", lambda t: (None, None))
-    catalog._models(None)
-    catalog.model_comparison(None)
-    assert asked == [300] * 5
+def test_queries_train_all_rounds():
+    for fit in (learn.fit_models, learn.fit_booking, learn.fit_dayof, learn.fit_minutes, learn.compare_models, learn.ablation):
+        defaults = {k: v.default for k, v in inspect.signature(fit).parameters.items()}
+        assert defaults["rounds"] == 300 and defaults["step"] == 0.1
+    source = inspect.getsource(catalog)
+    assert "rounds" not in source
