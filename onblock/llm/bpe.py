@@ -7,9 +7,10 @@ what they give is concatenated. The vocabulary file is read on the driver and tr
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Iterator
-from itertools import chain
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -18,11 +19,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from onblock.llm.tables import ship
+from onblock.llm.tables import kept, ship
 
 # The published splitting pattern of this family of vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-REMEMBERED = 400_000
+#: Bytes that each of the two memories of an encoder may take, with an estimate of what an entry costs besides its content.
+REMEMBERED, ENTRY = 96 << 20, 240
+LONG = 64
 BITS = 24
 NO_MERGE = 1 << 62
 CHARACTERS_AT_ONCE = 1 << 20
@@ -55,40 +58,50 @@ class Vocabulary:
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
 
 
-class Encoder(dict):
-    """Piece of text -> its ids; pieces are remembered up to a bound and then forgotten all at once."""
+class Memory(dict):
+    """Entries up to a number of bytes; then all are forgotten at once."""
+
+    held = 0
+
+    def keep(self, key: str | bytes, ids: bytes) -> bytes:
+        self.held += len(key) + len(ids) + ENTRY
+        if self.held > REMEMBERED:
+            self.clear()
+            self.held = len(key) + len(ids) + ENTRY
+        if self.held <= REMEMBERED:
+            self[key] = ids
+        return ids
+
+
+class Encoder(Memory):
+    """Piece of text -> the bytes of its ids as int32; pieces and fragments are remembered."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.vocabulary, self.fragments = vocabulary, {}
+        self.vocabulary, self.fragments = vocabulary, Memory()
         self.pieces = regex.compile(PATTERN).findall
         self.cut = regex.compile(r"(?<=\S) (?=\S)")
 
-    def __missing__(self, piece: str) -> list[int]:
+    def __missing__(self, piece: str) -> bytes:
         raw, inside = piece.encode(), self.vocabulary.inside
         cuts = [i + 1 for i, pair in enumerate(zip(raw, raw[1:], strict=False)) if pair[0] << 8 | pair[1] not in inside]
         if cuts:
-            ids = list(chain.from_iterable(self.fragment(raw[i:j]) for i, j in zip([0, *cuts], [*cuts, len(raw)], strict=True)))
+            ids = b"".join([self.fragment(raw[i:j]) for i, j in zip([0, *cuts], [*cuts, len(raw)], strict=True)])
         else:
             ids = self.merged(raw)
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[piece] = ids
-        return ids
+        return self.keep(piece, ids)
 
-    def fragment(self, raw: bytes) -> list[int]:
+    def fragment(self, raw: bytes) -> bytes:
         ids = self.fragments.get(raw)
-        if ids is None:
-            ids = self.merged(raw)
-            if len(self.fragments) >= REMEMBERED:
-                self.fragments.clear()
-            self.fragments[raw] = ids
-        return ids
+        return self.fragments.keep(raw, self.merged(raw)) if ids is None else ids
 
-    def merged(self, raw: bytes) -> list[int]:
+    def merged(self, raw: bytes) -> bytes:
         """Merges the leftmost pair of the lowest rank until no pair has one."""
-        merge_of = self.vocabulary.merges.get
         ids = [self.vocabulary.single[b] for b in raw]
+        return np.array(self._merged_long(ids) if len(ids) > LONG else self._merged_short(ids), np.int32).tobytes()
+
+    def _merged_short(self, ids: list[int]) -> list[int]:
+        merge_of = self.vocabulary.merges.get
         merges = [merge_of(a << BITS | b, NO_MERGE) for a, b in zip(ids, ids[1:], strict=False)]
         while merges and (best := min(merges)) != NO_MERGE:
             at = merges.index(best)
@@ -100,6 +113,27 @@ class Encoder(dict):
                 merges[at] = merge_of(new << BITS | ids[at + 1], NO_MERGE)
         return ids
 
+    def _merged_long(self, ids: list[int]) -> list[int]:
+        """The same on a linked list: pairs wait in a heap by rank and place, and those that have changed since are passed over."""
+        merge_of, n = self.vocabulary.merges.get, len(ids)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        waiting = [(merge, at) for at in range(n - 1) if (merge := merge_of(ids[at] << BITS | ids[at + 1])) is not None]
+        heapify(waiting)
+        while waiting:
+            merge, at = heappop(waiting)
+            right = after[at]
+            if ids[at] < 0 or right >= n or merge_of(ids[at] << BITS | ids[right]) != merge:
+                continue
+            ids[at], ids[right] = merge & ((1 << BITS) - 1), -1
+            after[at] = beyond = after[right]
+            if beyond < n:
+                before[beyond] = at
+                if (found := merge_of(ids[at] << BITS | ids[beyond])) is not None:
+                    heappush(waiting, (found, at))
+            if before[at] >= 0 and (found := merge_of(ids[before[at]] << BITS | ids[at])) is not None:
+                heappush(waiting, (found, before[at]))
+        return [i for i in ids if i >= 0]
+
     def parts(self, text: str) -> Iterator[str]:
         """A long text in parts, cut before a single space between two words, where the pattern starts a piece anyway."""
         start = 0
@@ -119,20 +153,27 @@ class Encoder(dict):
                 found.append(np.array([special[run]], np.int32))
             else:
                 for part in self.parts(run):
-                    found.append(np.fromiter(chain.from_iterable(map(self.__getitem__, self.pieces(part))), np.int32))
+                    found.append(np.frombuffer(b"".join(map(self.__getitem__, self.pieces(part))), np.int32))
         return found[0] if len(found) == 1 else np.concatenate(found)
 
 
+def _vocabulary(spec: str, name: str) -> Vocabulary:
+    return kept(f"vocabulary_{name}", lambda: Vocabulary(spec))
+
+
 def encode(text: Column, spec: str) -> Column:
     """Ids of whole texts as array<int>; null and empty texts have none.
 
     spec is the text of the tokenizer file. Its special tokens are found in texts first, as the file asks for; nothing is added
-    before or after a text. Very long texts are encoded in parts that meet at certain cuts.
+    before or after a text. Very long texts are encoded in parts that meet at certain cuts, and a run without any cut in a time little
+    more than linear. Repeated rows are encoded alike, an empty table stays empty. A worker process builds the vocabulary once and
+    keeps what it remembers for its later tasks, within the bytes of REMEMBERED.
     """
+    name = hashlib.sha256(spec.encode()).hexdigest()
 
     @F.arrow_udf(T.ArrayType(T.IntegerType(), False))
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(Vocabulary(spec))
+        encoder = kept(f"encoder_{name}", lambda: Encoder(_vocabulary(spec, name)))
         for texts in batches:
             ids = [encoder.encode(t) for t in texts.to_pylist()]
             ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
@@ -144,12 +185,13 @@ def encode(text: Column, spec: str) -> Column:
 def decode(ids: Column, spec: str) -> Column:
     """The text of ids: the bytes of all tokens, special ones included, read as UTF-8 with the replacement character for what is none.
 
-    Ids outside the vocabulary give nothing; null and empty lists give an empty text.
+    Ids outside the vocabulary give nothing; null and empty lists give an empty text, repeated rows the same text, no rows none.
     """
+    name = hashlib.sha256(spec.encode()).hexdigest()
 
     @F.arrow_udf(T.StringType())
     def text_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokens = Vocabulary(spec).tokens
+        tokens = _vocabulary(spec, name).tokens
         table = [tokens.get(i, b"") for i in range(max(tokens) + 1)] + [b""]
         for lists in batches:
             values, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()

@@ -1,5 +1,9 @@
 """Ids and texts against the tokenizers library."""
 
+import random
+import string
+import time
+
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -35,6 +39,32 @@ def test_forgetting_changes_nothing(monkeypatch):
     assert bpe.Encoder(bpe.Vocabulary(SPEC)).encode(text).tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
+def test_memories_stay_within_their_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 5_000)
+    encoder = bpe.Encoder(bpe.Vocabulary(SPEC))
+    text = " ".join(f"word{i} Straße{i} \u6771\u4eac{i % 7}" for i in range(400))
+    assert encoder.encode(text).tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+    for memory in (encoder, encoder.fragments):
+        assert sum(len(k) + len(v) + bpe.ENTRY for k, v in memory.items()) <= 5_000
+
+
+@pytest.mark.parametrize("alphabet", ["a", "ab", string.ascii_letters + string.digits + "+/", "é🙂x"])
+def test_long_unbroken_runs_take_seconds(alphabet):
+    rng = random.Random(2)
+    text = "".join(rng.choices(alphabet, k=1_000_000 if len(alphabet) != 2 else 200_000))
+    started = time.perf_counter()
+    ids = ENCODER.encode(text).tolist()
+    assert time.perf_counter() - started < 60
+    assert ids == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet="abtheinr é", min_size=1, max_size=200))
+def test_both_ways_of_merging_are_the_same(text):
+    ids = [ENCODER.vocabulary.single[b] for b in text.encode()]
+    assert ENCODER._merged_long(list(ids)) == ENCODER._merged_short(list(ids))
+
+
 def test_certain_cuts_are_in_no_token():
     vocabulary = bpe.Vocabulary(SPEC)
     pairs = {a << 8 | b for token in vocabulary.tokens.values() if token not in map(str.encode, vocabulary.special) for a, b in zip(token, token[1:])}
