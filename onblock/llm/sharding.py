@@ -1,7 +1,7 @@
 """Shards of near equal bytes by a histogram sort: count, refine the splitters, exchange once.
 
-Rows are ordered by the hash of their text, so equal texts lie together, and then by the hash of their id. The order is a line of
-2**128 places. The first round counts the exact bytes in 2**TOP_BITS cells of that line; every later round opens the cells that
+Rows are ordered by the hash of their text, so equal texts lie together, then by the hash of their id, then by the hash of a number
+that each row got when it was written, which tells repeated rows apart. The order is a line of 2**192 places. The first round counts the exact bytes in 2**TOP_BITS cells of that line; every later round opens the cells that
 still hold a splitter, until every splitter is within the tolerance. Rounds read written keys and sizes only; texts move once.
 """
 
@@ -19,7 +19,8 @@ LAW = "bytes"
 TOP_BITS = 12
 COUNTS_PER_ROUND = 1 << 20
 RANGE_BYTES = 1 << 30
-LINE = 1 << 128
+PARTS = ("text_hash", "id_hash", "row_hash")
+LINE = 1 << 192
 ROW_IN_TASK = (1 << 33) - 1
 
 
@@ -28,9 +29,10 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 8
 
 
-def _longs(place: int) -> tuple[int, int]:
-    """The two signed hashes at a place of the line."""
-    return (place >> 64) - (1 << 63), (place & ((1 << 64) - 1)) - (1 << 63)
+def _longs(place: int) -> tuple[int, int, int]:
+    """The three signed hashes at a place of the line."""
+    low, half = (1 << 64) - 1, 1 << 63
+    return (place >> 128) - half, (place >> 64 & low) - half, (place & low) - half
 
 
 def _bucket(place: int) -> int:
@@ -41,33 +43,37 @@ def _row_bucket() -> Column:
     return F.shiftright("text_hash", 64 - TOP_BITS)
 
 
-def _reached(hash1: Column, hash2: Column) -> Column:
-    """Whether a row lies at or behind a place given as two hashes."""
-    return (F.col("text_hash") > hash1) | ((F.col("text_hash") == hash1) & (F.col("id_hash") >= hash2))
+def _reached(place: list[Column]) -> Column:
+    """Whether a row lies at or behind a place given as three hashes."""
+    text, key, row = (F.col(p) for p in PARTS)
+    a, b, c = place
+    return (text > a) | ((text == a) & ((key > b) | ((key == b) & (row >= c))))
 
 
 def _opened(keys: DataFrame, cells: list[tuple[int, int]], step: int) -> DataFrame:
-    """Bytes in the parts of the cells (start, log2 of the width); a cell is cut into parts of 2**step places."""
+    """Bytes in the parts of the cells (start, log2 of the width); a cell is cut into parts of 2**step places of one of the hashes."""
     rows = []
     for number, (start, width) in enumerate(cells):
-        (a, b), (c, d) = _longs(start), _longs(start + (1 << width) - 1)
-        rows.append((number, _bucket(start), a, b, c, d))
-    table = keys.sparkSession.createDataFrame(rows, "cell int, bucket long, a long, b long, c long, d long")
-    met = keys.withColumn("bucket", _row_bucket()).join(F.broadcast(table), "bucket").filter(_reached(F.col("a"), F.col("b")))
-    inside = met.filter((F.col("text_hash") < F.col("c")) | ((F.col("text_hash") == F.col("c")) & (F.col("id_hash") <= F.col("d"))))
-    level, low, shift = ("text_hash", "a", step - 64) if step >= 64 else ("id_hash", "b", step)
-    part = F.shiftright(level, shift) - F.shiftright(low, shift)
+        rows.append((number, _bucket(start), _longs(start), _longs(start + (1 << width) - 1)))
+    place = "struct<a: long, b: long, c: long>"
+    table = keys.sparkSession.createDataFrame(rows, f"cell int, bucket long, first {place}, last {place}")
+    met = keys.withColumn("bucket", _row_bucket()).join(F.broadcast(table), "bucket").filter(_reached([F.col(f"first.{x}") for x in "abc"]))
+    behind = [F.col("text_hash") == F.col("last.a"), F.col("id_hash") == F.col("last.b"), F.col("row_hash") <= F.col("last.c")]
+    before = [F.col("text_hash") < F.col("last.a"), F.col("id_hash") < F.col("last.b")]
+    inside = met.filter(before[0] | (behind[0] & (before[1] | (behind[1] & behind[2]))))
+    level = 2 - step // 64
+    part = F.shiftright(PARTS[level], step % 64) - F.shiftright(f"first.{'abc'[level]}", step % 64)
     return inside.groupBy("cell", part.alias("part")).agg(F.sum("size").alias("n"), F.count("*").alias("rows"))
 
 
 def splitters(keys: DataFrame, targets: list[int], tolerance: int) -> list[int]:
     """For each target a place of the line with that many bytes before it, within the tolerance or as near as rows allow.
 
-    keys: text_hash, id_hash and size, all long. A round is one aggregate and brings at most COUNTS_PER_ROUND counts, or four a
-    target, to the driver; the number of rounds is bounded by the 128 bits of the line.
+    keys: text_hash, id_hash, row_hash and size, all long. A round is one aggregate and brings at most COUNTS_PER_ROUND counts, or four a
+    target, to the driver; the number of rounds is bounded by the 192 bits of the line.
     """
     places: dict[int, int] = {}
-    width = 128 - TOP_BITS
+    width = 192 - TOP_BITS
     top = keys.groupBy(_row_bucket().alias("bucket")).agg(F.sum("size").alias("n"), F.count("*").alias("rows")).collect()
     sums = {None: sorted((row["bucket"] + (1 << (TOP_BITS - 1)), row["n"], row["rows"]) for row in top)}
     at: dict[int, tuple[int | None, int, int]] = {i: (None, 0, 0) for i in range(len(targets))}
@@ -92,7 +98,7 @@ def splitters(keys: DataFrame, targets: list[int], tolerance: int) -> list[int]:
         cells = sorted({start for start, _ in later.values()})
         number = {start: k for k, start in enumerate(cells)}
         bits = max(2, (COUNTS_PER_ROUND // len(cells)).bit_length() - 1)
-        step = width - min(bits, 12, width - 64 if width > 64 else width)
+        step = width - min(bits, 12, (width - 1) % 64 + 1)
         sums = {k: [] for k in number.values()}
         for row in _opened(keys, [(start, width) for start in cells], step).collect():
             sums[row["cell"]].append((row["part"], row["n"], row["rows"]))
@@ -104,19 +110,19 @@ def splitters(keys: DataFrame, targets: list[int], tolerance: int) -> list[int]:
 
 def _cells(spark: SparkSession, places: list[int]) -> DataFrame:
     """For every bucket of the line: how many places lie in buckets before it, and those within it."""
-    within: dict[int, list[tuple[int, int]]] = {}
+    within: dict[int, list[tuple[int, int, int]]] = {}
     for place in places:
         within.setdefault(_bucket(place), []).append(_longs(place))
     half, rows, before = 1 << (TOP_BITS - 1), [], 0
     for bucket in range(-half, half):
         rows.append((bucket, before, within.get(bucket, [])))
         before += len(rows[-1][2])
-    return spark.createDataFrame(rows, "bucket long, before int, places array<struct<a: long, b: long>>")
+    return spark.createDataFrame(rows, "bucket long, before int, places array<struct<a: long, b: long, c: long>>")
 
 
 def _placed(df: DataFrame, cells: DataFrame) -> DataFrame:
     """Adds cell, the number of places that the row has reached. cells has 2**TOP_BITS rows and one entry a place."""
-    reached = F.size(F.filter("places", lambda p: _reached(p["a"], p["b"])))
+    reached = F.size(F.filter("places", lambda p: _reached([p["a"], p["b"], p["c"]])))
     found = df.withColumn("bucket", _row_bucket()).join(F.broadcast(cells), "bucket", "left")
     return found.withColumn("cell", F.col("before") + reached).drop("bucket", "before", "places")
 
@@ -129,15 +135,19 @@ def shard(
     law is `bytes`: every splitter is within half the tolerance (a share of one shard) of its exact place, or at the nearest row
     where a row is larger. Equal texts share a shard unless a splitter has to cut their group. slot counts from 0 in every shard, in
     the order of the keys. grown_shard is null under this law. Null and empty texts count 8 bytes; null ids are hashed like any
-    value. Rows alike in text and id have one place in the order and stay together. With fewer rows than shards some shards are
+    value. Rows alike in text and id are told apart by the number they get when they are written, so they too are spread. With fewer rows than shards some shards are
     empty; an empty table gives an empty result. Columns of docs named like a result are replaced.
 
     Shards consist of ranges of about range_bytes, each sorted in one task, so no task grows with a shard. The driver holds one number
-    per range, and broadcast are one place per range and 2**TOP_BITS bucket rows. The rows move once, by `repartitionById`.
+    per range, and broadcast are one place per range and 2**TOP_BITS bucket rows. The rows are written once with their keys, so that every
+    round and the exchange see the same numbers, and move once, by `repartitionById`.
     """
     spark = docs.sparkSession
-    hashes = {"text_hash": F.xxhash64(quoted(text)), "id_hash": F.xxhash64(quoted(key)), "size": size_of(quoted(text))}
-    keys = settle(docs.select(*[value.alias(name) for name, value in hashes.items()]), "shard-keys")
+    crc = F.crc32(F.coalesce(quoted(text), F.lit("")).cast("binary"))
+    hashes = {"text_hash": F.xxhash64(quoted(text)), "id_hash": F.xxhash64(quoted(key)), "size": size_of(quoted(text)), "crc": crc}
+    numbered = docs.select(carried(docs).alias("row"), *[value.alias(name) for name, value in hashes.items()])
+    rows = settle(numbered.withColumn("row_hash", F.xxhash64(F.monotonically_increasing_id())), "shard-rows")
+    keys = rows.select(*PARTS, "size")
     total = keys.agg(F.sum("size")).first()[0] or 0
     ranges = max(1, -(-total // (shards * range_bytes)))
     cuts = shards * ranges
@@ -151,9 +161,7 @@ def shard(
         starts.append((cell, first))
     offsets = spark.createDataFrame(starts, "first_cell int, first_slot long")
 
-    crc = F.crc32(F.coalesce(quoted(text), F.lit("")).cast("binary"))
-    rows = docs.select(carried(docs).alias("row"), *[value.alias(name) for name, value in hashes.items()], crc.alias("crc"))
-    moved = _placed(rows, cells).repartitionById(cuts, "cell").sortWithinPartitions("text_hash", "id_hash")
+    moved = _placed(rows, cells).repartitionById(cuts, "cell").sortWithinPartitions(*PARTS)
     numbered = moved.withColumn("in_range", F.monotonically_increasing_id().bitwiseAND(ROW_IN_TASK))
     placed = numbered.join(F.broadcast(offsets), F.col("cell") == F.col("first_cell"))
     return unpacked(

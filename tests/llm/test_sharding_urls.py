@@ -36,6 +36,27 @@ def test_a_hot_group_is_cut_only_where_a_splitter_must(spark):
     assert len(cut) <= 5
 
 
+def test_equal_rows_are_spread_over_all_shards(spark):
+    rows = [(7, "one row that comes again and again")] * 5_000 + [(i, f"row {i} with a text of its own") for i in range(5_000)] + [(None, None)] * 400
+    got = shard(spark.createDataFrame(rows, "doc_id long, text string"), 24).collect()
+    shards = by_shard(got)
+    sizes = [sum(r["size"] for r in own) for own in shards.values()]
+    assert len(got) == len(rows) and set(shards) == set(range(24)) and max(sizes) - min(sizes) <= 0.001 * sum(sizes) / 24 + 2 * 50
+    assert all(sorted(r["slot"] for r in own) == list(range(len(own))) for own in shards.values())
+
+
+def test_placement_equals_a_plain_sort(spark):
+    texts = [f"text {i % 700} " + "long " * (i % 97) for i in range(4_000)] + ["hot"] * 1_500
+    docs = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    hashed = shard(docs, 9).withColumns({"h1": F.xxhash64("text"), "h2": F.xxhash64("doc_id")})
+    rows = sorted(hashed.collect(), key=lambda r: (r["h1"], r["h2"], r["shard"], r["slot"]))
+    assert [(r["shard"], r["slot"]) for r in rows] == sorted((r["shard"], r["slot"]) for r in rows)
+    total, largest, upto = sum(r["size"] for r in rows), max(r["size"] for r in rows), 0
+    for number, own in itertools.groupby(rows, lambda r: r["shard"]):
+        upto += sum(r["size"] for r in own)
+        assert abs(upto - total * (number + 1) / 9) <= largest + 0.001 * total / 9
+
+
 def test_odd_rows(spark):
     rows = [(None, None), (None, None), (1, ""), (1, ""), (2, "ü"), (3, "z" * 100_000)]
     got = shard(spark.createDataFrame(rows, "doc_id long, text string"), 24).collect()
