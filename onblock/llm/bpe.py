@@ -23,9 +23,10 @@ from onblock.llm.tables import kept, ship
 
 # The published splitting pattern of this family of vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Bytes that each of the two memories of an encoder may take, with an estimate of what an entry costs besides its content.
-REMEMBERED, ENTRY = 96 << 20, 240
+#: Bytes that an encoder may remember of pieces, a quarter of them of fragments, with an estimate of what an entry costs besides its content.
+REMEMBERED, ENTRY = 48 << 20, 240
 LONG = 64
+TEXTS_AT_ONCE = 512
 BITS = 24
 NO_MERGE = 1 << 62
 CHARACTERS_AT_ONCE = 1 << 20
@@ -61,14 +62,16 @@ class Vocabulary:
 class Memory(dict):
     """Entries up to a number of bytes; then all are forgotten at once."""
 
-    held = 0
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.held = most, 0
 
     def keep(self, key: str | bytes, ids: bytes) -> bytes:
         self.held += len(key) + len(ids) + ENTRY
-        if self.held > REMEMBERED:
+        if self.held > self.most:
             self.clear()
             self.held = len(key) + len(ids) + ENTRY
-        if self.held <= REMEMBERED:
+        if self.held <= self.most:
             self[key] = ids
         return ids
 
@@ -77,8 +80,8 @@ class Encoder(Memory):
     """Piece of text -> the bytes of its ids as int32; pieces and fragments are remembered."""
 
     def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
-        self.vocabulary, self.fragments = vocabulary, Memory()
+        super().__init__(REMEMBERED)
+        self.vocabulary, self.fragments = vocabulary, Memory(REMEMBERED // 4)
         self.pieces = regex.compile(PATTERN).findall
         self.cut = regex.compile(r"(?<=\S) (?=\S)")
 
@@ -157,10 +160,6 @@ class Encoder(Memory):
         return found[0] if len(found) == 1 else np.concatenate(found)
 
 
-def _vocabulary(spec: str, name: str) -> Vocabulary:
-    return kept(f"vocabulary_{name}", lambda: Vocabulary(spec))
-
-
 def encode(text: Column, spec: str) -> Column:
     """Ids of whole texts as array<int>; null and empty texts have none.
 
@@ -173,8 +172,8 @@ def encode(text: Column, spec: str) -> Column:
 
     @F.arrow_udf(T.ArrayType(T.IntegerType(), False))
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = kept(f"encoder_{name}", lambda: Encoder(_vocabulary(spec, name)))
-        for texts in batches:
+        encoder = kept(f"encoder_{name}", lambda: Encoder(Vocabulary(spec)))
+        for texts in (batch[at : at + TEXTS_AT_ONCE] for batch in batches for at in range(0, len(batch), TEXTS_AT_ONCE)):
             ids = [encoder.encode(t) for t in texts.to_pylist()]
             ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
             yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32)))
@@ -187,14 +186,14 @@ def decode(ids: Column, spec: str) -> Column:
 
     Ids outside the vocabulary give nothing; null and empty lists give an empty text, repeated rows the same text, no rows none.
     """
-    name = hashlib.sha256(spec.encode()).hexdigest()
+    tokens = Vocabulary(spec).tokens
+    table = [tokens.get(i, b"") for i in range(max(tokens) + 1)] + [b""]
 
     @F.arrow_udf(T.StringType())
     def text_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokens = _vocabulary(spec, name).tokens
-        table = [tokens.get(i, b"") for i in range(max(tokens) + 1)] + [b""]
-        for lists in batches:
-            values, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+        for lists in (batch[at : at + TEXTS_AT_ONCE] for batch in batches for at in range(0, len(batch), TEXTS_AT_ONCE)):
+            values, ends = lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+            ends = ends - ends[0]
             known = np.where((values >= 0) & (values < len(table)), values, len(table) - 1)
             rows = (known[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False))
             yield pa.array([b"".join(map(table.__getitem__, row)).decode("utf-8", "replace") for row in rows], pa.string())
