@@ -24,7 +24,7 @@ from onblock.llm.tables import kept, ship
 # The published splitting pattern of this family of vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Bytes that an encoder may remember of pieces, a quarter of them of fragments, with an estimate of what an entry costs besides its content.
-REMEMBERED, ENTRY = 48 << 20, 240
+REMEMBERED, ENTRY = 96 << 20, 240
 LONG = 64
 TEXTS_AT_ONCE = 512
 BITS = 24
@@ -60,19 +60,23 @@ class Vocabulary:
 
 
 class Memory(dict):
-    """Entries up to a number of bytes; then all are forgotten at once."""
+    """Entries up to a number of bytes, in two generations: when the younger has half of them it becomes the older, and the older goes.
+
+    What is asked for while it is in the older generation enters the younger again, so frequent entries stay.
+    """
 
     def __init__(self, most: int):
         super().__init__()
-        self.most, self.held = most, 0
+        self.most, self.held, self.older = most, 0, {}
 
     def keep(self, key: str | bytes, ids: bytes) -> bytes:
-        self.held += len(key) + len(ids) + ENTRY
-        if self.held > self.most:
+        size = len(key) + len(ids) + ENTRY
+        if self.held + size > self.most // 2:
+            self.older, self.held = dict(self), 0
             self.clear()
-            self.held = len(key) + len(ids) + ENTRY
-        if self.held <= self.most:
+        if size <= self.most // 2:
             self[key] = ids
+            self.held += size
         return ids
 
 
@@ -86,6 +90,8 @@ class Encoder(Memory):
         self.cut = regex.compile(r"(?<=\S) (?=\S)")
 
     def __missing__(self, piece: str) -> bytes:
+        if (known := self.older.get(piece)) is not None:
+            return self.keep(piece, known)
         raw, inside = piece.encode(), self.vocabulary.inside
         cuts = [i + 1 for i, pair in enumerate(zip(raw, raw[1:], strict=False)) if pair[0] << 8 | pair[1] not in inside]
         if cuts:
@@ -96,7 +102,7 @@ class Encoder(Memory):
 
     def fragment(self, raw: bytes) -> bytes:
         ids = self.fragments.get(raw)
-        return self.fragments.keep(raw, self.merged(raw)) if ids is None else ids
+        return self.fragments.keep(raw, self.fragments.older.get(raw) or self.merged(raw)) if ids is None else ids
 
     def merged(self, raw: bytes) -> bytes:
         """Merges the leftmost pair of the lowest rank until no pair has one."""
