@@ -12,6 +12,7 @@ from onblock.operators import anomaly, encode, explore, features, metrics, profi
 from onblock.operators.lagging import HeavyGroups
 from onblock.operators.ranks import exact_median
 from onblock.plans import frames, learn, replay, routes, scoring
+from onblock.runtime import fresh_path
 from onblock.sources import ingest
 from onblock.sources.testdata import REFERENCE_DAY, SPLIT_DATE, Tables, replay_from_trips
 from onblock.streaming import live
@@ -85,6 +86,49 @@ def typed_trips(t):
     return t.trips
 
 
+def _as_files(trips):
+    """Trips as the text of monthly files: every field a string, times as hhmm, whole numbers with a decimal point."""
+    hhmm = F.lpad(F.expr("cast(dep_min div 60 * 100 + dep_min % 60 as string)"), 4, "0")
+    fields = {
+        "FlightDate": "flight_date",
+        "Month": "month",
+        "DayOfWeek": "day_of_week",
+        "Reporting_Airline": "airline",
+        "Tail_Number": "tail",
+        "Origin": "origin",
+        "Dest": "dest",
+        "ArrDelay": "arr_delay",
+    }
+    doubles = {
+        "Distance": "distance",
+        "CRSElapsedTime": "crs_elapsed",
+        "Cancelled": "cancelled",
+        "Diverted": "diverted",
+        "ArrDel15": "arr_del15",
+        "DepDel15": "dep_del15",
+    }
+    return trips.select(
+        "flight_id",
+        hhmm.alias("CRSDepTime"),
+        F.col("dep_block").alias("DepTimeBlk"),
+        *[F.col(c).cast("string").alias(name) for name, c in fields.items()],
+        *[F.col(c).cast("double").cast("string").alias(name) for name, c in doubles.items()],
+    )
+
+
+@query
+def landed_trip_files(t):
+    """Trips written as CSV files of two layouts, landed as typed months, and landed again, which changes nothing."""
+    files = _as_files(t.trips)
+    landing, target = fresh_path(t.spark, "landing"), fresh_path(t.spark, "trips")
+    names = [c for c in files.columns if c != "flight_id"]
+    files.filter("flight_id % 2 = 0").select(names).write.option("header", True).csv(f"{landing}/a")
+    files.filter("flight_id % 2 = 1").select(*reversed(names), F.lit("x").alias("Note")).write.option("header", True).csv(f"{landing}/b")
+    for _ in range(2):
+        landed = ingest.ingest_new_months(t.spark, f"{landing}/*/*.csv", target, 2024)
+    return landed.drop("year").withColumn("month", F.col("month").cast("int"))
+
+
 @query
 def hhmm_split(t):
     hhmm = t.trips.select("flight_id", F.expr("cast(dep_min div 60 * 100 + dep_min % 60 as int)").alias("hhmm"))

@@ -352,6 +352,11 @@ ORACLE = {
         FROM airports WHERE iata IN (SELECT origin FROM trips UNION SELECT dest FROM trips)""",
     ),
     "typed_trips": sql("trips", "SELECT * FROM trips"),
+    "landed_trip_files": sql(
+        "trips",
+        """SELECT flight_date, month, day_of_week, dep_hour, dep_min, dep_block, airline, tail, origin, dest, distance, crs_elapsed,
+          cancelled, diverted, arr_delay, arr_del15, dep_del15 FROM trips""",
+    ),
     "hhmm_split": sql(
         "trips",
         """SELECT flight_id, hhmm, hhmm // 100 % 24 AS dep_hour, hhmm // 100 * 60 + hhmm % 100 AS dep_min

@@ -38,16 +38,22 @@ def read_trip_files(spark: SparkSession, glob: str) -> DataFrame:
     Files may order their columns differently: those with the same header are read together and the groups are joined by name.
     Column pruning is off for this read, because a pruned parse no longer notices ragged rows.
     """
-    files = [row["path"] for row in spark.read.format("binaryFile").load(glob).select("path").collect()]  # a file a month
     by_header: dict[str, list[str]] = {}
-    for path in sorted(files):
-        first = spark.read.text(path).first()
-        by_header.setdefault(first["value"] if first else "", []).append(path)
+    for row in header_lines(spark, glob).collect():  # a row a file
+        by_header.setdefault(row["header"], []).append(row["path"])
     reader = spark.read.options(header=True, mode="DROPMALFORMED", columnPruning=False)
     parts = [reader.csv(paths) for paths in by_header.values()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def header_lines(spark: SparkSession, glob: str) -> DataFrame:
+    """path and header, the first line, of every file that has one; all files are looked at in one job."""
+    lines = spark.read.text(glob).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value", F.monotonically_increasing_id().alias("at")
+    )
+    return lines.filter("start = 0").groupBy("path").agg(F.min_by("value", "at").alias("header")).orderBy("path")
+
+
 def _value(name: str, kind: str) -> Column:
     text = F.nullif(F.trim(F.col(name)), F.lit(""))
     if kind == "string":
