@@ -7,16 +7,26 @@ folder of its own below the shared folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructType
+from pyspark.storagelevel import StorageLevel
 
-from onblock.operators.features import HUB_HOUR, hub_state, previous_leg
+from onblock.operators.features import HUB_HOUR, STATE_DEFAULT, hub_state, leg_order, previous_leg
 from onblock.operators.lagging import HeavyGroups
 from onblock.plans.replay import score_aggregates, with_landing_time, with_uid
 from onblock.runtime import fresh_path
 from onblock.sources.ingest import target_exists
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+OPEN_ROWS, RING = "rows", "ring"
+RING_HOURS = "flight_date date, dep_hour int, dep_rate double"
+ROWS_AT_ONCE = 10_000  # rows that a task hands to the state in one call
+
 
 def file_stream(spark: SparkSession, folder: str, name: str, files_per_batch: int = 1) -> DataFrame:
     """A Parquet table of a folder as a stream of its files."""
@@ -79,76 +89,174 @@ def landings_stream(replay: DataFrame, lateness: str = "2 days", root: str | Non
     return spark.read.parquet(f"{base}/rows")
 
 
-def hub_state_stream(trips: DataFrame, lateness: str = "2 days", root: str | None = None) -> DataFrame:
-    """Hub hours kept by a watermarked aggregation, then the recent state over the stored hours."""
-    hours = (
+class _RecentHours(StatefulProcessor):
+    """Adds to each closed hour of a hub the mean late share of the two hours before; keeps the rated hours of the last two.
+
+    Hours close in the order of time, so those of one batch are later than all that the hub has seen.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.ring = handle.getListState(RING, RING_HOURS)
+
+    def handleInputRows(self, key, rows, timerValues):
+        closed: dict[tuple, dict] = {}
+        for row in rows:
+            closed.setdefault((row["flight_date"], row["dep_hour"]), {})[row["dep_del15"]] = row["n"]
+        ring = list(self.ring.get())
+        for (day, hour), counts in sorted(closed.items()):
+            ring = [held for held in ring if held[0] == day and held[1] >= hour - 2]
+            rated = sum(n for late, n in counts.items() if late is not None)
+            rate = sum(late * n for late, n in counts.items() if late is not None) / rated if rated else None
+            state = None
+            if key[0] is not None and rated:
+                state = sum(held[2] for held in ring) / len(ring) if ring else None
+                ring.append((day, hour, rate))
+            yield Row(origin=key[0], flight_date=day, dep_hour=hour, dep_congestion=sum(counts.values()), dep_rate=rate, airport_state=state)
+            ring = [held for held in ring if held[1] >= hour - 1]
+        self.ring.put(ring) if ring else self.ring.clear()
+
+
+def hub_state_stream(trips: DataFrame, lateness: str = "2 days", root: str | None = None, default: float = STATE_DEFAULT) -> DataFrame:
+    """Congestion and recent state of every hub hour; trips without a day or an hour are left out.
+
+    A watermarked aggregation counts the hours. An hour that closes meets the last two hours of its hub, which are all that is kept of
+    closed hours, and is appended to the results once. Hours still open are read from the state and returned, but not stored.
+    """
+    spark = trips.sparkSession
+    base = root or fresh_path(spark, "hub-hours")
+    rows, checkpoint = f"{base}/rows", f"{base}/checkpoint"
+    key = [*HUB_HOUR, "dep_del15"]
+    counted = (
         trips.withColumn("at", F.timestamp_add("HOUR", F.col("dep_hour"), F.col("flight_date").cast("timestamp")))
+        .filter("at is not null")
         .withWatermark("at", lateness)
-        .groupBy(F.window("at", "1 hour"), *HUB_HOUR)
-        .agg(F.count(F.lit(1)).alias("dep_congestion"), F.avg("dep_del15").alias("dep_rate"))
-        .drop("window")
+        .groupBy(F.window("at", "1 hour"), *key)
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    kinds = dict(counted.dtypes)
+    schema = ", ".join(f"{c} {kinds[c]}" for c in HUB_HOUR) + ", dep_congestion long, dep_rate double, airport_state double"
+    closed = counted.select(*key, "n").groupBy("origin").transformWithState(_RecentHours(), schema, "append", "none")
+    with _rocksdb(spark):
+        _run(closed.writeStream.outputMode("append").format("parquet").option("path", rows), checkpoint)
+        # Stateful operators are numbered from the end of the plan.
+        counts = _state(spark, checkpoint, operatorId=1).select("key.*", F.col("value.count").alias("n"))
+        ring = _state(spark, checkpoint, operatorId=0, stateVarName=RING)
+    rated = F.when(F.col("dep_del15").isNotNull(), F.col("n"))
+    still = counts.groupBy(*HUB_HOUR).agg(
+        F.sum("n").alias("dep_congestion"), F.try_divide(F.sum(F.col("dep_del15") * F.col("n")), F.sum(rated)).alias("dep_rate")
     )
-    return hub_state(_run_updates(hours, HUB_HOUR, "hub-hours", root))
+    before = ring.select("key.origin", "list_element.*").select(*HUB_HOUR, "dep_rate").withColumn("_closed", F.lit(True))
+    present = hub_state(still.unionByName(before, allowMissingColumns=True), None).filter("_closed is null").drop("_closed")
+    both = spark.read.schema(schema).parquet(rows).unionByName(present)
+    return both.withColumn("airport_state", F.coalesce("airport_state", F.lit(default)))
+
+
+class _OpenDay(StatefulProcessor):
+    """Holds the rows of one key of a day until the watermark reaches the day, hands them on and forgets them.
+
+    Every key of a day has the same timer, so a day leaves the state whole, in one batch.
+    """
+
+    def __init__(self, schema: StructType) -> None:
+        self.schema = schema
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.rows = handle, handle.getListState(OPEN_ROWS, self.schema)
+
+    def handleInputRows(self, key, rows, timerValues):
+        if not self.rows.exists():
+            midnight = dt.datetime.combine(key[0], dt.time(), dt.timezone.utc)
+            self.handle.registerTimer(int(midnight.timestamp() * 1000))
+        names, held = self.schema.names, []
+        for row in rows:
+            held.append(tuple(row[name] for name in names))
+            if len(held) == ROWS_AT_ONCE:
+                self.rows.appendList(held)
+                held = []
+        if held:
+            self.rows.appendList(held)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        for values in self.rows.get():
+            yield Row(**dict(zip(self.schema.names, values)))
+        self.rows.clear()
 
 
 class DailyLegs:
     """Previous-leg features for a stream of trips, emitted day by day.
 
-    A batch lands its rows under their day. Once a later day than a day's allowance has been seen, that day is closed
-    and the batch operator runs over it, so groups of any size stay cut into ranges. Rows for closed days are late and
-    are dropped. Folders are keyed by batch and day: a repeated batch rewrites the same files.
+    Rows of open days are keyed state: `slices` lists a day, vehicles dealt to them by hash and unregistered ones row by row, so none holds the whole of
+    a heavy group. A day is due as soon as the watermark, `allowed_days` behind the newest day, reaches it: its rows leave the state together and the batch
+    operator runs over them, so groups of any size stay cut into ranges. State is bounded by the watermark, landed rows are never read again, and rows of a
+    day that is closed are late and dropped, as are rows without a day. Results are keyed by day: a repeated batch rewrites the same files.
+    The number of slices may change between runs.
     """
 
-    def __init__(self, spark: SparkSession, allowed_days: int = 1, heavy: HeavyGroups | None = HeavyGroups(), root: str | None = None):
-        self.spark, self.allowed, self.heavy = spark, allowed_days, heavy
-        self.resumable = root is not None
+    def __init__(
+        self,
+        spark: SparkSession,
+        allowed_days: int = 1,
+        heavy: HeavyGroups | None = HeavyGroups(),
+        root: str | None = None,
+        slices: int = 128,
+    ):
+        self.spark, self.allowed, self.heavy, self.slices = spark, allowed_days, heavy, slices
         base = root or fresh_path(spark, "legs")
-        self.landing, self.out, self.checkpoint = f"{base}/landing", f"{base}/out", f"{base}/checkpoint"
-
-    def _closed(self) -> DataFrame | None:
-        return self.spark.read.parquet(self.out) if target_exists(self.spark, self.out) else None
-
-    def take(self, batch: DataFrame, number: int) -> None:
-        closed = self._closed()
-        if closed is not None:
-            batch = batch.join(closed.select("flight_date").distinct(), "flight_date", "left_anti")
-        _overwrite_partitions(batch.withColumn("batch", F.lit(number)), ["flight_date", "batch"], self.landing)
-        self.close(self.allowed)
-
-    def close(self, allowed: int) -> None:
-        """Emits all landed days that are at least `allowed` days older than the newest one."""
-        if not target_exists(self.spark, self.landing):
-            return
-        landed = self.spark.read.parquet(self.landing).drop("batch")
-        newest = landed.agg(F.max("flight_date")).scalar()
-        due = landed.filter(F.col("flight_date") <= F.date_sub(newest, allowed))
-        closed = self._closed()
-        if closed is not None:
-            due = due.join(closed.select("flight_date").distinct(), "flight_date", "left_anti")
-        _overwrite_partitions(previous_leg(due, heavy=self.heavy), ["flight_date"], self.out)
-
-    def _open(self) -> DataFrame | None:
-        """Landed rows of days that are not closed."""
-        if not target_exists(self.spark, self.landing):
-            return None
-        landed, closed = self.spark.read.parquet(self.landing).drop("batch"), self._closed()
-        return landed if closed is None else landed.join(closed.select("flight_date").distinct(), "flight_date", "left_anti")
+        self.out, self.checkpoint = f"{base}/out", f"{base}/checkpoint"
+
+    def _due(self, trips: DataFrame) -> DataFrame:
+        """The rows of closed days, as they close."""
+        place = F.when(F.col("tail").isNull(), F.xxhash64(*leg_order(trips))).otherwise(F.xxhash64("tail"))
+        return (
+            trips.filter("flight_date is not null")
+            .withColumn("_day", F.col("flight_date").cast("timestamp"))
+            .withWatermark("_day", f"{self.allowed} days")
+            .withColumn("_slice", F.pmod(place, F.lit(self.slices)).cast("int"))
+            .groupBy("flight_date", "_slice")
+            .transformWithState(_OpenDay(trips.schema), trips.schema, "append", "eventTime")
+        )
+
+    def _store(self, due: DataFrame, number: int) -> None:
+        due = due.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if not due.isEmpty():
+                _overwrite_partitions(previous_leg(due, heavy=self.heavy), ["flight_date"], self.out)
+        finally:
+            due.unpersist()
+
+    def _open(self) -> DataFrame:
+        """The rows of open days, read from the state."""
+        return _state(self.spark, self.checkpoint, stateVarName=OPEN_ROWS).select("list_element.*")
 
     def run(self, trips: DataFrame) -> DataFrame:
         """Reads the stream to its present end and returns the features of all days.
 
-        Without a root of the caller every day is closed. With one, days within the allowance stay open for the next run: their features are
-        computed from the rows so far and returned, but not stored.
+        Days within the allowance stay open for the next run on the same root: their features are computed from the rows so far and
+        returned, but not stored.
         """
-        _run(trips.writeStream.foreachBatch(self.take), self.checkpoint)
-        if not self.resumable:
-            self.close(0)
-            return self.spark.read.parquet(self.out)
-        closed, landed = self._closed(), self._open()
-        if landed is None:
-            return previous_leg(trips.sparkSession.createDataFrame([], trips.schema), heavy=self.heavy)
-        present = previous_leg(landed, heavy=self.heavy)
-        return present if closed is None else closed.unionByName(present)
+        with _rocksdb(self.spark):
+            _run(self._due(trips).writeStream.foreachBatch(self._store), self.checkpoint)
+            present = previous_leg(self._open(), heavy=self.heavy)
+        if not target_exists(self.spark, self.out):
+            return present
+        return self.spark.read.parquet(self.out).unionByName(present)
+
+
+def _state(spark: SparkSession, checkpoint: str, **options: str | int) -> DataFrame:
+    """What a stopped stream holds in its state."""
+    return spark.read.format("statestore").options(path=checkpoint, **options).load()
+
+
+@contextmanager
+def _rocksdb(spark: SparkSession):
+    """Streams begun inside keep their state in RocksDB, which keyed processors need."""
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(STATE_STORE, before)
 
 
 def _overwrite_partitions(df: DataFrame, by: list[str], path: str) -> None:

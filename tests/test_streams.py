@@ -4,6 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from onblock.operators.features import hub_hours, hub_state, previous_leg
+from onblock.operators.lagging import HeavyGroups
 from onblock.plans.replay import scoreboard_windows
 from onblock.streaming import live
 from tests.rows import DAY, trip, trips
@@ -84,12 +85,21 @@ def test_rows_for_closed_days_are_late(spark, tmp_path):
     first = [trip(1, 100), trip(2, 200)]
     later = [trip(3, 100, day=DAY + dt.timedelta(days=5))]
     late = [trip(4, 150)]
-    feed = live.DailyLegs(spark, allowed_days=1)
-    for number, rows in enumerate([first, later, late]):
-        feed.take(trips(spark, rows), number)
-    feed.take(trips(spark, later), 1)  # a repeated batch changes nothing
-    feed.close(0)
-    assert sorted(r["flight_id"] for r in spark.read.parquet(feed.out).collect()) == [1, 2, 3]
+    for rows in [first, later, late]:
+        feed = live.DailyLegs(spark, allowed_days=1, root=str(tmp_path / "legs"))
+        got = feed.run(stream(spark, tmp_path / "in", [trips(spark, rows)]))
+    assert sorted(r["flight_id"] for r in got.collect()) == [1, 2, 3]
+    assert sorted(r["flight_id"] for r in spark.read.parquet(feed.out).collect()) == [1, 2]
+
+
+def test_state_of_daily_legs_holds_open_days_only(spark, tmp_path):
+    rows = sorted(legs(6), key=lambda r: r[1])
+    feed = live.DailyLegs(spark, root=str(tmp_path / "legs"), slices=3, heavy=HeavyGroups(min_rows=10))
+    got = feed.run(stream(spark, tmp_path / "in", [trips(spark, rows[i : i + 50]) for i in range(0, 200, 50)]))
+    assert values(got) == values(previous_leg(trips(spark, rows)))
+    newest = rows[-1][1]
+    assert {r["flight_date"] for r in feed._open().select("flight_date").distinct().collect()} == {newest}
+    assert spark.read.parquet(feed.out).filter(F.col("flight_date") == newest).isEmpty()
 
 
 def test_hub_state_stream_equals_batch(spark, tmp_path):
@@ -101,6 +111,21 @@ def test_hub_state_stream_equals_batch(spark, tmp_path):
     assert set(got.collect()) == set(want.collect())
 
 
+def test_hub_state_stream_goes_on_and_keeps_two_hours(spark, tmp_path):
+    rows = sorted(legs(5), key=lambda r: (r[1], r[5]))
+    rows = [(*r[:-1], None if r[0] % 7 == 0 else r[0] % 2) for r in rows]
+    keys = ["origin", "flight_date", "dep_hour"]
+    for start, end in [(0, 90), (90, 150), (150, 200)]:
+        begun = stream(spark, tmp_path / "in", [trips(spark, rows[start:end])])
+        got = live.hub_state_stream(begun, "3 hours", root=str(tmp_path / "hubs"))
+        want = hub_state(hub_hours(trips(spark, rows[:end])))
+        columns = [*keys, "dep_congestion", F.round("dep_rate", 9), F.round("airport_state", 9)]
+        assert sorted(map(str, got.select(*columns).collect())) == sorted(map(str, want.select(*columns).collect()))
+    checkpoint = str(tmp_path / "hubs" / "checkpoint")
+    assert live._state(spark, checkpoint, operatorId=0, stateVarName="ring").count() <= 2
+    assert live._state(spark, checkpoint, operatorId=1).count() < want.count() / 4
+
+
 def test_requests_score_as_a_stream(spark, tmp_path):
     from onblock.operators.weather import request_weather
     from onblock.plans.scoring import with_route_defaults
