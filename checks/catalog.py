@@ -11,7 +11,7 @@ from onblock.functions import clock, geo, labels
 from onblock.operators import anomaly, encode, explore, features, metrics, profile, sampling, weather
 from onblock.operators.lagging import HeavyGroups
 from onblock.operators.ranks import exact_median
-from onblock.plans import frames, learn, replay, routes, scoring
+from onblock.plans import frames, learn, refresh, replay, routes, scoring
 from onblock.runtime import fresh_path
 from onblock.sources import ingest
 from onblock.sources.testdata import REFERENCE_DAY, SPLIT_DATE, Tables, replay_from_trips
@@ -393,6 +393,18 @@ def dayof_features(t):
     )
 
 
+@query
+def features_after_landings(t):
+    """The feature table built by three landings: early days, later days, and trips of all days that come late."""
+    table = refresh.FeatureTable(t.spark, fresh_path(t.spark, "features"))
+    late, early = F.col("flight_id") % 10 == 0, F.dayofmonth("flight_date") <= 20
+    for number, part in enumerate([~late & early, ~late & ~early, late]):
+        kept = table.land(t.trips.filter(part), number)
+    return kept.select(
+        "flight_id", "flight_date", "tail", "origin", r("prev_arr_delay"), "dep_congestion", "turnaround", r("airport_state")
+    )
+
+
 # ---- sets of codes
 
 

@@ -509,6 +509,11 @@ ORACLE = {
         """SELECT flight_id, flight_date, tail, origin, dest, dep_min, round(prev_arr_delay, 8) AS prev_arr_delay, dep_congestion,
             turnaround, round(airport_state, 8) AS airport_state FROM feat""",
     ),
+    "features_after_landings": sql(
+        "feat",
+        """SELECT flight_id, flight_date, tail, origin, round(prev_arr_delay, 8) AS prev_arr_delay, dep_congestion, turnaround,
+            round(airport_state, 8) AS airport_state FROM feat""",
+    ),
     "airport_universe": sql("trips", "SELECT origin AS airport FROM trips UNION SELECT dest FROM trips ORDER BY 1"),
     "airline_universe": sql("trips", "SELECT DISTINCT airline FROM trips ORDER BY 1"),
     "rounding_modes": sql(
