@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from onblock.functions import clock, geo, labels
-from onblock.operators import anomaly, encode, explore, features, metrics, profile, sampling, weather
+from onblock.operators import anomaly, encode, explore, features, kmeans, metrics, profile, sampling, weather
 from onblock.operators.lagging import HeavyGroups
 from onblock.operators.ranks import exact_median
 from onblock.plans import frames, learn, refresh, replay, routes, scoring
@@ -760,6 +761,17 @@ def cluster_profile(t):
     return profile.cluster_profile(profile.cluster_hubs(_hubs(t)))
 
 
+@query
+def clusters_from_fixed_starts(t):
+    """Three steps of k-means from three sets of the busiest hubs, all sets in the same passes."""
+    z = [f"{c}_z" for c in profile.PROFILE_FEATURES]
+    ready = encode.standardised(_hubs(t), profile.PROFILE_FEATURES)
+    top = [list(row) for row in ready.orderBy(F.desc("n_flights"), "iata").limit(6).select(z).collect()]
+    found = kmeans.lloyd(ready, z, np.array([top[i : i + 4] for i in range(3)]), steps=3, tolerance=0.0)
+    parts = [found.assign(ready, i).select(F.lit(i).alias("start"), "iata", "cluster") for i in range(3)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query
 def airport_anomalies(t):
     z = [f"{c}_z" for c in profile.PROFILE_FEATURES]

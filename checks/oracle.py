@@ -200,6 +200,24 @@ def sql(uses: str, body: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({CTES[n].strip()})" for n in names) + "\n" + body.strip()
 
 
+def _clusters(steps: int) -> str:
+    """k-means steps from the busiest hubs, then the nearest centre of each hub."""
+    z = [f"{c}_z" for c in FEATURES]
+    gap = " + ".join(f"(h.{c} - c.{c}) * (h.{c} - c.{c})" for c in z)
+    parts = [
+        """top AS (SELECT z.*, row_number() OVER (ORDER BY n_flights DESC, iata) - 1 AS rn FROM zhubs z JOIN hubs USING (iata))""",
+        "c0 AS (SELECT CAST(s AS INT) AS start, CAST(rn - s AS INT) AS cluster, top.* FROM top, range(3) AS r(s) WHERE rn BETWEEN s AND s + 3)",
+    ]
+    for i in range(steps + 1):
+        parts.append(
+            f"""n{i} AS (SELECT c.start, c.cluster, h.*, row_number() OVER (PARTITION BY c.start, h.iata ORDER BY {gap}, c.cluster) AS near
+            FROM zhubs h, c{i} c QUALIFY near = 1)"""
+        )
+        means = ", ".join(f"coalesce(avg(n.{c}), any_value(c.{c})) AS {c}" for c in z)
+        parts.append(f"c{i + 1} AS (SELECT start, cluster, {means} FROM c{i} c LEFT JOIN n{i} n USING (start, cluster) GROUP BY ALL)")
+    return sql("zhubs", "SELECT 1").removesuffix("SELECT 1") + ", " + ",\n".join(parts) + f"\nSELECT start, iata, cluster FROM n{steps}"
+
+
 def _sample(columns: str, where: str) -> str:
     return sql(
         "trips",
@@ -608,6 +626,7 @@ ORACLE = {
     "silhouette": sql("zhubs", _silhouette()).replace(
         "\nSELECT round", ",\nbanded AS (SELECT *, CAST(substr(iata, 2, 2) AS INT) % 3 AS band FROM zhubs)\nSELECT round", 1
     ),
+    "clusters_from_fixed_starts": _clusters(3),
     "performance_report": sql("replay", _report()),
     "monthly_reference_days": sql("trips", "SELECT DISTINCT flight_date FROM trips WHERE day(flight_date) = 15"),
     "active_profile": sql(

@@ -4,13 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from onblock.operators.encode import standardised
+from onblock.operators.kmeans import kmeans
 
 # The profile columns, in their order.
 PROFILE_FEATURES = ["n_flights", "delay_rate", "avg_delay", "cancel_rate", "avg_distance"]
@@ -33,23 +31,17 @@ def hub_profile(trips: DataFrame, airports: DataFrame, min_trips: int | Column =
 
 
 def cluster_hubs(profile: DataFrame, k: int = 4, restarts: int = 10, seed: int = 0) -> DataFrame:
-    """k-means on the standardised profile, best of several starts; clusters numbered from large to small."""
+    """k-means on the standardised profile, best of several starts; clusters numbered from large to small.
+
+    All starts share their passes over the hubs. A hub with a null in its profile has no cluster.
+    """
     z = [f"{c}_z" for c in PROFILE_FEATURES]
-    ready = VectorAssembler(inputCols=z, outputCol="_features").transform(standardised(profile, PROFILE_FEATURES))
-    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fits = [
-            KMeans(k=k, seed=seed + i, featuresCol="_features", predictionCol="_cluster").fit(ready)
-            for i in range(restarts)
-        ]
-    finally:
-        ready.unpersist()
-    best = min(fits, key=lambda m: m.summary.trainingCost)
-    labelled = best.transform(ready)
-    sizes = labelled.groupBy("_cluster").agg(F.count(F.lit(1)).alias("_size"), F.min("iata").alias("_first"))
+    ready = standardised(profile, PROFILE_FEATURES)
+    labelled = kmeans(ready, z, "iata", k, restarts, seed).assign(ready, output="_cluster")
+    sizes = labelled.filter("_cluster is not null").groupBy("_cluster").agg(F.count(F.lit(1)).alias("_size"), F.min("iata").alias("_first"))
     order = Window.orderBy(F.desc("_size"), "_first")  # k rows
     number = sizes.select("_cluster", (F.row_number().over(order) - 1).alias("cluster"))
-    return labelled.join(F.broadcast(number), "_cluster").drop("_cluster", "_features", *z)
+    return labelled.join(F.broadcast(number), "_cluster", "left").drop("_cluster", *z)
 
 
 def cluster_profile(clustered: DataFrame, digits: int = 2) -> DataFrame:
