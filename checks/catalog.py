@@ -15,6 +15,7 @@ from onblock.operators.ranks import exact_median
 from onblock.plans import frames, learn, refresh, replay, routes, scoring
 from onblock.runtime import fresh_path
 from onblock.sources import ingest
+from onblock.sources.deliveries import TripDeliveries
 from onblock.sources.testdata import REFERENCE_DAY, SPLIT_DATE, Tables, replay_from_trips
 from onblock.streaming import live
 
@@ -130,6 +131,20 @@ def landed_trip_files(t):
     return landed.drop("year").withColumn("month", F.col("month").cast("int"))
 
 
+@query
+def delivered_trip_files(t):
+    """Trips delivered as CSV files in two goes, the second with copies of the first; every trip is there once."""
+    files = _as_files(t.trips)
+    names = [c for c in files.columns if c != "flight_id"]
+    landing, early = fresh_path(t.spark, "landing"), F.col("flight_id") % 3 != 0
+    table = TripDeliveries(t.spark, fresh_path(t.spark, "deliveries"))
+    files.filter(early).select(names).write.option("header", True).csv(f"{landing}/a")
+    table.land(f"{landing}/*/*.csv", 0)
+    files.filter(early).select(names).write.option("header", True).csv(f"{landing}/copies")
+    files.filter(~early).select(*reversed(names)).write.option("header", True).csv(f"{landing}/b")
+    return table.land(f"{landing}/*/*.csv", 1).drop("year", "source_file").withColumn("month", F.col("month").cast("int"))
+
+
 @query
 def hhmm_split(t):
     hhmm = t.trips.select("flight_id", F.expr("cast(dep_min div 60 * 100 + dep_min % 60 as int)").alias("hhmm"))

@@ -643,6 +643,7 @@ ORACLE = {
     ),
 }
 ORACLE["scoreboard_stream"] = ORACLE["scoreboard_windows"]
+ORACLE["delivered_trip_files"] = ORACLE["landed_trip_files"]
 ORACLE["state_stream"] = ORACLE["airport_state"]
 ORACLE["prev_leg_stream"] = sql("legs", "SELECT flight_id, round(prev_arr_delay, 8) AS prev_arr_delay, turnaround FROM legs")
 ORACLE["landings_stream"] = sql(

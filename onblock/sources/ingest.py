@@ -32,21 +32,23 @@ AIRPORT_WIDTH = 14
 MISSING_CODE = r"\N"
 
 
-def read_trip_files(spark: SparkSession, glob: str) -> DataFrame:
+def read_trip_files(spark: SparkSession, glob: str | list[str], path_as: str | None = None) -> DataFrame:
     """All columns as text, named by the header line of their own file; rows with too few or too many fields are dropped.
 
     Files may order their columns differently: those with the same header are read together and the groups are joined by name.
-    Column pruning is off for this read, because a pruned parse no longer notices ragged rows.
+    Column pruning is off for this read, because a pruned parse no longer notices ragged rows. `path_as` adds the path of the file.
     """
     by_header: dict[str, list[str]] = {}
     for row in header_lines(spark, glob).collect():  # a row a file
         by_header.setdefault(row["header"], []).append(row["path"])
     reader = spark.read.options(header=True, mode="DROPMALFORMED", columnPruning=False)
     parts = [reader.csv(paths) for paths in by_header.values()]
+    if path_as:
+        parts = [part.select("*", F.col("_metadata.file_path").alias(path_as)) for part in parts]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def header_lines(spark: SparkSession, glob: str) -> DataFrame:
+def header_lines(spark: SparkSession, glob: str | list[str]) -> DataFrame:
     """path and header, the first line, of every file that has one; all files are looked at in one job."""
     lines = spark.read.text(glob).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value", F.monotonically_increasing_id().alias("at")
@@ -63,13 +65,14 @@ def _value(name: str, kind: str) -> Column:
     return text.try_cast(kind)
 
 
-def typed_trips(raw: DataFrame) -> DataFrame:
-    """The trip table from text columns; rows with a filled field that does not parse are dropped."""
+def typed_trips(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The trip table from text columns and those to `keep`; rows with a filled field that does not parse are dropped."""
     from onblock.functions.clock import hour_of_hhmm, minute_of_hhmm
 
     parsed = raw.select(
         *[_value(c, kind).alias(c) for c, kind in TRIP_COLUMNS.items()],
         *[(F.trim(F.col(c)) != "").alias(f"_{c}") for c in TRIP_COLUMNS],
+        *keep,
     )
     sound = F.lit(True)
     for c in TRIP_COLUMNS:
@@ -92,6 +95,7 @@ def typed_trips(raw: DataFrame) -> DataFrame:
         F.col("ArrDelay").alias("arr_delay"),
         F.col("ArrDel15").alias("arr_del15"),
         F.col("DepDel15").alias("dep_del15"),
+        *keep,
     )
 
 
