@@ -13,7 +13,7 @@ from onblock.operators import anomaly, encode, explore, features, kmeans, metric
 from onblock.operators.lagging import HeavyGroups
 from onblock.operators.ranks import exact_median
 from onblock.plans import frames, learn, refresh, replay, routes, scoring
-from onblock.runtime import fresh_path
+from onblock.runtime import cut_lineage, fresh_path
 from onblock.sources import ingest
 from onblock.sources.deliveries import TripDeliveries
 from onblock.sources.testdata import REFERENCE_DAY, SPLIT_DATE, Tables, replay_from_trips
@@ -254,7 +254,7 @@ def request_defaults(t):
 
 @query
 def request_weather(t):
-    asked = weather.request_weather(t.requests, t.weather, weather.climatology(_clean(t)), t.airports)
+    asked = weather.request_weather(t.requests, t.weather, _stored_climatology(t), t.airports)
     return asked.select(
         "request_id", "meteo_source", *[F.bround(f"meteo.{c}", 6).alias(c) for c in weather.MEASURES]
     )
@@ -503,7 +503,7 @@ def risk_levels(t):
 
 @query
 def risk_factors(t):
-    asked = weather.request_weather(t.requests, t.weather, weather.climatology(_clean(t)), t.airports)
+    asked = weather.request_weather(t.requests, t.weather, _stored_climatology(t), t.airports)
     found = labels.risk_factors("meteo.prcp", "meteo.snow", "meteo.wspd", "dep_hour", "prev_arr_delay")
     text = F.array_join(F.transform(found, lambda f: F.concat_ws(":", f["label"], f["level"])), "|")
     return asked.select("request_id", text.alias("factors"))
@@ -511,7 +511,7 @@ def risk_factors(t):
 
 @query
 def score_requests_facts(t):
-    facts = scoring.request_facts(t.requests, _routes(t), t.weather, weather.climatology(_clean(t)), t.airports)
+    facts = scoring.request_facts(t.requests, _routes(t), t.weather, _stored_climatology(t), t.airports)
     text = F.array_join(F.transform("factors", lambda f: F.concat_ws(":", f["label"], f["level"])), "|")
     return facts.select(
         "request_id", "mode", r("distance"), r("crs_elapsed"), "meteo_source", *[F.col(f"meteo.{c}").alias(c) for c in weather.MEASURES], text.alias("factors")
@@ -677,6 +677,11 @@ def _clean(t):
     return weather.clean_weather(t.weather, t.airports, t.trips)
 
 
+def _stored_climatology(t):
+    """The lookup of airport months, settled once: requests ask it for their month and for the overall mean."""
+    return cut_lineage(weather.climatology(_clean(t)))
+
+
 def _routes(t):
     return routes.route_table(
         t.trips,
@@ -808,7 +813,7 @@ def scored_days(t):
 @query
 def score_requests(t):
     answers = scoring.score_requests(
-        t.requests, _routes(t), t.weather, weather.climatology(_clean(t)), t.airports, _models(t)
+        t.requests, _routes(t), t.weather, _stored_climatology(t), t.airports, _models(t)
     )
     return answers.select(
         "request_id", "proba", "minutes", "mode", "distance", "crs_elapsed", "meteo_source", F.size("factors").alias("n_factors")

@@ -22,7 +22,7 @@ from onblock.plans.replay import score_aggregates, with_landing_time, with_uid
 from onblock.runtime import fresh_path
 from onblock.sources.ingest import target_exists
 
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+STATE_STORE, PARTITIONS = "spark.sql.streaming.stateStore.providerClass", "spark.sql.shuffle.partitions"
 OPEN_ROWS, RING = "rows", "ring"
 RING_HOURS = "flight_date date, dep_hour int, dep_rate double"
 ROWS_AT_ONCE = 10_000  # rows that a task hands to the state in one call
@@ -136,7 +136,7 @@ def hub_state_stream(trips: DataFrame, lateness: str = "2 days", root: str | Non
     kinds = dict(counted.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in HUB_HOUR) + ", dep_congestion long, dep_rate double, airport_state double"
     closed = counted.select(*key, "n").groupBy("origin").transformWithState(_RecentHours(), schema, "append", "none")
-    with _rocksdb(spark):
+    with _keyed_state(spark):
         _run(closed.writeStream.outputMode("append").format("parquet").option("path", rows), checkpoint)
         # Stateful operators are numbered from the end of the plan.
         counts = _state(spark, checkpoint, operatorId=1).select("key.*", F.col("value.count").alias("n"))
@@ -235,7 +235,7 @@ class DailyLegs:
         Days within the allowance stay open for the next run on the same root: their features are computed from the rows so far and
         returned, but not stored.
         """
-        with _rocksdb(self.spark):
+        with _keyed_state(self.spark):
             _run(self._due(trips).writeStream.foreachBatch(self._store), self.checkpoint)
             present = previous_leg(self._open(), heavy=self.heavy)
         if not target_exists(self.spark, self.out):
@@ -249,14 +249,21 @@ def _state(spark: SparkSession, checkpoint: str, **options: str | int) -> DataFr
 
 
 @contextmanager
-def _rocksdb(spark: SparkSession):
-    """Streams begun inside keep their state in RocksDB, which keyed processors need."""
-    before = spark.conf.get(STATE_STORE)
-    spark.conf.set(STATE_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+def _keyed_state(spark: SparkSession):
+    """Streams begun inside keep their state in RocksDB, which keyed processors need, in one partition for each core: every partition starts a
+    Python worker in every batch. A stream keeps the number that it began with."""
+    settings = {
+        STATE_STORE: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        PARTITIONS: str(spark.sparkContext.defaultParallelism),
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(STATE_STORE, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def _overwrite_partitions(df: DataFrame, by: list[str], path: str) -> None:
