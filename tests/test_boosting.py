@@ -100,6 +100,28 @@ def test_models_side_by_side_equal_models_alone_and_survive_saving(spark, tmp_pa
     assert Boosted.load(f"{tmp_path}/m") == model
 
 
+def test_models_of_one_block_grow_in_tasks_of_their_own(spark):
+    sc = spark.sparkContext
+    sc.setJobGroup("one block", "three models")
+    fit_boosted([(spark.createDataFrame(table(200)), [Task(LOGISTIC, "late", FEATURES[:k]) for k in (1, 2, 4)])], rounds=2, max_leaves=5)
+    tracker = sc.statusTracker()
+    last = tracker.getJobInfo(max(tracker.getJobIdsForGroup("one block")))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert tracker.getStageInfo(max(last.stageIds)).numTasks == 3
+
+
+def test_a_pass_splits_only_the_nodes_that_are_new():
+    bins = np.array([[0, 1, 2, 3, 255, 0]], np.uint8)
+    y = np.array([0, 1, 0, 1, 1, np.nan])
+    known = {}
+    one = boosting.Tree([0, -1, -1], [0.0] * 3, [1, 0, 0], [True, False, False], [1, 0, 0], [2, 0, 0], [])
+    assert {k: v.tolist() for k, v in boosting._open_rows(one, bins, [0], y, known).items()} == {1: [0, 1, 4], 2: [2, 3]}
+    right = known["nodes"][2]
+    two = boosting.Tree([0, 0, -1, -1, -1], [0.0] * 5, [1, 0, 0, 0, 0], [True] + [False] * 4, [1, 3, 0, 0, 0], [2, 4, 0, 0, 0], [])
+    assert {k: v.tolist() for k, v in boosting._open_rows(two, bins, [0], y, known).items()} == {2: [2, 3], 3: [0], 4: [1, 4]}
+    assert known["nodes"][2] is right
+
+
 def test_missing_values_learn_their_side(spark):
     n = 400
     lost = np.arange(n) % 4 == 0
