@@ -102,6 +102,14 @@ def test_state_of_daily_legs_holds_open_days_only(spark, tmp_path):
     assert spark.read.parquet(feed.out).filter(F.col("flight_date") == newest).isEmpty()
 
 
+def test_state_of_daily_legs_takes_a_value_a_key_and_batch(spark, tmp_path):
+    rows = legs(1)
+    feed = live.DailyLegs(spark, root=str(tmp_path / "legs"), slices=2)
+    got = feed.run(stream(spark, tmp_path / "in", [trips(spark, rows)]))
+    assert live._state(spark, feed.checkpoint, stateVarName=live.OPEN_ROWS).count() <= 2
+    assert values(got) == values(previous_leg(trips(spark, rows)))
+
+
 def test_hub_state_stream_equals_batch(spark, tmp_path):
     rows = legs(2)
     parts = [trips(spark, rows[i::2]) for i in range(2)]
