@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from onblock.operators import lagging
 from onblock.operators.features import dayof_features, hub_hours, hub_state, hub_state_by_shift, previous_leg
 from onblock.operators.lagging import HeavyGroups, heavy_groups
 from tests.rows import DAY, by_id, trip, trips
@@ -62,6 +63,17 @@ def test_cut_groups_give_the_same_lag(spark, ties):
     assert len(ranged) == 3000 and set(ranged) == plain
 
 
+def test_the_number_of_cut_points_is_bounded(spark, monkeypatch):
+    rows = trips(spark, [trip(i, (i * 37) % 1440, tail=None, arr_delay=float(i % 90)) for i in range(400)])
+    found, inner = [], lagging._cut_points
+    monkeypatch.setattr(lagging, "MOST_RANGES", 8)
+    monkeypatch.setattr(lagging, "_cut_points", lambda *a: found.append(inner(*a)) or found[-1])
+    keep = ["flight_id", "prev_arr_delay", "turnaround"]
+    cut = previous_leg(rows, heavy=HeavyGroups(min_rows=2)).select(keep).collect()
+    assert sorted(cut) == sorted(previous_leg(rows, heavy=None).select(keep).collect())
+    assert 1 <= len(found[0]) <= 16
+
+
 def test_a_hot_group_in_well_compressed_files_is_found(spark, tmp_path):
     """Constant keys compress best, so the size of the files says nothing about the size of a group."""
     path = str(tmp_path / "hot")
