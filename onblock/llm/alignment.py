@@ -44,6 +44,7 @@ class ByteTokens:
         self.bytes = [b""] * (max(ranks.values()) + 1)
         for token, i in ranks.items():
             self.bytes[i] = token
+        self.pieces = pa.array(self.bytes, pa.large_binary())
         self.lengths = pa.array([len(b) for b in self.bytes], pa.int64())
 
     def encode(self, text: str) -> np.ndarray:
@@ -58,6 +59,7 @@ class PieceTokens:
         every = range(self.model.get_piece_size())
         names = [self.model.id_to_piece(i) for i in every]
         self.bytes = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in zip(every, names, strict=True)]
+        self.pieces = pa.array(self.bytes, pa.large_binary())
         self.lengths = pa.array([len(b) for b in self.bytes], pa.int64())
         #: A space that no piece has behind another character always starts a piece.
         self.starts_at_space = not any(SPACE in p.lstrip(SPACE) for p in names)
@@ -85,20 +87,29 @@ def check_ranks(spec: str) -> str:
     return spec
 
 
+def _written_bytes(ids: np.ndarray, bounds: np.ndarray, pieces: pa.LargeBinaryArray) -> list[bytes]:
+    """The bytes of the tokens between neighbouring bounds, joined: in the taken array they lie side by side."""
+    if not len(ids):
+        return [b""] * (len(bounds) - 1)
+    taken = pc.take(pieces, pa.array(ids))
+    ends = np.frombuffer(taken.buffers()[1], np.int64)[bounds].tolist()
+    characters = (taken.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
+    return [characters[start:end] for start, end in zip(ends[:-1], ends[1:], strict=True)]
+
+
 def _tokens(texts: list[str], a: ByteTokens, b: PieceTokens) -> tuple[pa.ListArray, pa.ListArray]:
     """Token lists of both tokenizers; no tokens for empty texts and those that one of them does not give back byte for byte."""
-    lists: tuple[list, list] = ([], [])
     none = np.empty(0, np.int32)
-    for text in texts:
-        both = (none, none)
-        if text:
-            want = b" " + text.encode()
-            both = a.encode(text), b.encode(text)
-            if any(b"".join(map(side.bytes.__getitem__, ids.tolist())) != want for side, ids in zip((a, b), both, strict=True)):
-                both = (none, none)
-        for held, ids in zip(lists, both, strict=True):
-            held.append(ids)
-    return tuple(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, held)]), pa.int32()), pa.array(np.concatenate(held))) for held in lists)
+    wanted = [b" " + text.encode() if text else b"" for text in texts]
+    held = [[side.encode(text) if text else none for text in texts] for side in (a, b)]
+    flat = [(np.concatenate(lists), np.cumsum([0, *map(len, lists)])) for lists in held]
+    given = [_written_bytes(ids, bounds, side.pieces) for side, (ids, bounds) in zip((a, b), flat, strict=True)]
+    if lost := [i for i, want in enumerate(wanted) if not given[0][i] == given[1][i] == want]:
+        for lists in held:
+            for i in lost:
+                lists[i] = none
+        flat = [(np.concatenate(lists), np.cumsum([0, *map(len, lists)])) for lists in held]
+    return tuple(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids)) for ids, bounds in flat)
 
 
 def _ends(lists: pa.ListArray, lengths: pa.Array) -> tuple[pa.Array, pa.Array]:

@@ -5,7 +5,9 @@ import os
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 from tokenizers import Tokenizer
 
@@ -94,3 +96,10 @@ def test_long_unbroken_text_ends():
     a, b = ByteTokens(SPEC), PieceTokens(MODEL)
     found = alignment.linked(["a" * 300_000, "ab" * 150_000, "x"], a, b)
     assert found["n_links"][0] >= found["n_a"][0] and found["n_a"][2] == 1
+
+
+def test_bytes_of_all_tokens_come_in_one_step():
+    pieces = pa.array([b"", b" a", b"\xf0", b"\x9f\x98\x80"], pa.large_binary())
+    ids, bounds = np.array([1, 2, 3, 1], np.int32), np.array([0, 0, 1, 3, 4, 4])
+    assert alignment._written_bytes(ids, bounds, pieces) == [b"", b" a", "\U0001f600".encode(), b" a", b""]
+    assert alignment._written_bytes(ids[:0], np.zeros(3, np.int64), pieces) == [b"", b""]
