@@ -110,6 +110,24 @@ def test_models_of_one_block_grow_in_tasks_of_their_own(spark):
     assert tracker.getStageInfo(max(last.stageIds)).numTasks == 3
 
 
+def test_half_a_million_rows_grow_without_a_job_a_level(spark):
+    sc = spark.sparkContext
+    df = spark.range(500_000).selectExpr("double(id % 7) x", "double(id % 3 = 0 or id % 7 = 2) y")
+    sc.setJobGroup("half a million", "one model")
+    model = fit_boosted([(df, [Task(LOGISTIC, "y", ["x"])])], rounds=8, max_leaves=4)[0][0]
+    jobs = len(sc.statusTracker().getJobIdsForGroup("half a million"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(model.trees) == 8 and jobs < 8
+
+
+def test_rows_beyond_one_block_are_dealt_to_all_cores(spark, monkeypatch):
+    dealt = []
+    grow = boosting._grow
+    monkeypatch.setattr(boosting, "_grow", lambda blocks, *rest: (dealt.append(blocks.blocks.getNumPartitions()), grow(blocks, *rest)))
+    fit_boosted([(spark.createDataFrame(table(400)), [Task(LOGISTIC, "late", FEATURES)])], rounds=1, max_leaves=3, block_rows=399)
+    assert dealt == [max(2, spark.sparkContext.defaultParallelism)]
+
+
 def test_a_pass_splits_only_the_nodes_that_are_new():
     bins = np.array([[0, 1, 2, 3, 255, 0]], np.uint8)
     y = np.array([0, 1, 0, 1, 1, np.nan])

@@ -87,6 +87,24 @@ def test_four_models_side_by_side_equal_each_alone(planted):
         assert both.filter("abs(x - y) > 1e-9").count() == 0
 
 
+def test_a_query_fits_only_the_models_it_scores_with(spark, planted, monkeypatch):
+    train, _ = planted
+    grown = []
+
+    def fit(wanted, *_):
+        grown.append([name for w in wanted for name in w.numbers])
+        return dict.fromkeys(grown[-1], "model")
+
+    monkeypatch.setattr(learn, "fit_side_by_side", fit)
+    monkeypatch.setattr(catalog, "_booking_split", lambda t: (train, None))
+    monkeypatch.setattr(catalog, "_dayof_split", lambda t: (train, None))
+    t = catalog.Tables(spark, "only here")
+    assert catalog._booking(t) == catalog._booking(t) == "model" and grown == [["booking"]]
+    assert catalog._dayof(t) == "model" and grown[1:] == [["dayof"]]
+    assert vars(catalog._models(t)) == dict.fromkeys(learn.MODELS, "model")
+    assert grown[2:] == [["booking_minutes", "dayof_minutes"]]
+
+
 def test_scoring_is_one_projection(planted):
     train, test = planted
     model = learn.fit_minutes(train, "flight_id", rounds=3)
