@@ -140,6 +140,34 @@ def test_a_pass_splits_only_the_nodes_that_are_new():
     assert known["nodes"][2] is right
 
 
+def test_a_set_of_one_block_explores_only_splits_that_stay(spark, monkeypatch):
+    n = 4000
+    x = np.random.default_rng(5).normal(size=(4, n))
+    bins = np.stack([np.searchsorted(np.sort(v)[:: n // 200], v) for v in x]).astype(np.uint8)
+    y = (x.sum(axis=0) + x[0] * x[1] > 0).astype(float)
+    asked, trees = [], []
+    count = boosting._histograms
+    monkeypatch.setattr(boosting, "_histograms", lambda plans: (asked.extend(plans[0][5]), count(plans))[1])
+    for sure in (True, False):
+        model = Boosted(LOGISTIC, FEATURES, 0.0, 0.1)
+        edges = [np.arange(201.0)] * 4
+        growing = boosting._Growing(Task(LOGISTIC, "y", FEATURES), 0, 0, [0, 1, 2, 3], edges, model, 31, 20, sure)
+        del asked[:]
+        boosting._grow(boosting._Here([(0, bins, [y], [np.zeros(n)], {})]), [growing], 3)
+        trees.append(model.trees)
+        assert not sure or len(asked) <= 3 * 31  # the root and the smaller child of every split
+    for one, two in zip(*trees, strict=True):
+        assert (one.feature, one.cut, one.left, one.right) == (two.feature, two.cut, two.left, two.right)
+        assert np.allclose(one.value, two.value)
+
+
+def test_blocks_of_their_own_tasks_grow_the_sure_way(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(boosting, "_grow", lambda blocks, growing, rounds: seen.extend(g.sure for g in growing))
+    growing = boosting._Growing(Task(LOGISTIC, "y", ["a"]), 0, 0, [0], [], Boosted(LOGISTIC, ["a"], 0.0, 0.1), 31, 20)
+    assert len(list(boosting._grown_here(growing, 1)(iter([()])))) == 1 and seen == [True]
+
+
 def test_missing_values_learn_their_side(spark):
     n = 400
     lost = np.arange(n) % 4 == 0
