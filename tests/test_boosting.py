@@ -204,3 +204,23 @@ def test_medians_of_blocks_are_exact_with_ties():
                 parts.append((int(a), *np.unique(part[a:b], return_counts=True)))
             assert median_of(n, parts) == np.median(values)
             assert sum(counts.sum() for _, _, counts in parts) <= max(n / 2, 40) or len(np.unique(values)) < 20
+
+
+@pytest.mark.parametrize("loss,label", [(LOGISTIC, "late"), (ABSOLUTE, "minutes")])
+def test_rows_of_one_block_do_not_go_through_final_trees(monkeypatch, loss, label):
+    frame = table(600, 5)
+    frame.loc[::9, label] = np.nan
+    edges = [np.unique(np.nanquantile(frame[f], np.linspace(0.1, 0.9, 9))) for f in FEATURES]
+    block = (0, np.array(binned(frame, edges)), [frame[label].to_numpy()], [np.zeros(len(frame))], {})
+    through, passes = boosting._leaf_of, []
+    monkeypatch.setattr(boosting, "_leaf_of", lambda *args: passes.append(1) or through(*args))
+    grown = boosting._Growing(Task(loss, label, FEATURES), 0, 0, [0, 1, 2, 3], edges, Boosted(loss, FEATURES, 0.0, 0.3), 7, 12)
+    list(boosting._grown_here(grown, 4)(iter([block])))
+    assert len(grown.model.trees) == 4 and len(passes) <= 2  # for the start, which has no nodes yet
+    known = frame[label].notna().to_numpy()
+    want = plain([b[known] for b in binned(frame, edges)], frame[label].to_numpy()[known], loss, 4, 0.3, 7, 12)
+    got = np.full(known.sum(), grown.model.start)
+    for tree in grown.model.trees:
+        reached = through(tree, lambda f: block[1][f][known], known.sum(), tree.cut, lambda x: x == boosting.MISSING)
+        got += 0.3 * np.array(tree.value)[reached]
+    assert np.allclose(got, want)
