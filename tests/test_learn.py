@@ -1,5 +1,6 @@
 import inspect
 import random
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -43,6 +44,18 @@ def test_classifiers_beat_chance_and_survive_saving(spark, planted, tmp_path):
     assert ranking_metrics(fresh, LABEL, "risk").first()["auc"] == pytest.approx(rows["boosted trees"]["auc"], abs=1e-4)
 
 
+def test_learners_of_the_comparison_are_fitted_at_the_same_time(spark, planted, monkeypatch):
+    train, test = planted
+    both, fit = threading.Barrier(2), learn.fit_logistic
+    booking = learn.fit_booking(train, "flight_id", rounds=2)
+    monkeypatch.setattr(learn, "fit_logistic", lambda rows: both.wait(60) >= 0 and fit(rows))
+    seen = learn.compare_models(train, test, "flight_id", lambda: both.wait(60) >= 0 and booking)
+    monkeypatch.undo()
+    assert sorted(seen.collect()) == sorted(learn.compare_models(train, test, "flight_id", booking).collect())
+    # The metrics read the scored rows, not the test frame with its models.
+    assert "LogisticRegression" not in (plan := seen._jdf.queryExecution().optimizedPlan().toString()) and "predicted" not in plan
+
+
 def test_unknown_codes_still_score(spark, planted):
     train, test = planted
     model = learn.fit_logistic(train)
