@@ -56,6 +56,16 @@ def test_learners_of_the_comparison_are_fitted_at_the_same_time(spark, planted,
     assert "LogisticRegression" not in (plan := seen._jdf.queryExecution().optimizedPlan().toString()) and "predicted" not in plan
 
 
+def test_route_table_is_made_while_the_model_grows(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    both, table = threading.Barrier(2), spark.createDataFrame([("A", "B")], "origin string, dest string")
+    monkeypatch.setattr(catalog, "_booking", lambda t: both.wait(60) >= 0 and "model")
+    monkeypatch.setattr(catalog, "_routes", lambda t: both.wait(60) >= 0 and table)
+    monkeypatch.setattr(catalog.scoring, "route_risk", lambda routes, booking, month: (routes.collect(), booking, month))
+    assert catalog.QUERIES["route_risk"](SimpleNamespace(spark=spark)) == (table.collect(), "model", 1)
+
+
 def test_unknown_codes_still_score(spark, planted):
     train, test = planted
     model = learn.fit_logistic(train)
