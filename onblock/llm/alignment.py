@@ -26,6 +26,8 @@ from onblock.llm.bpe import PATTERN, byte_alphabet
 from onblock.llm.tables import kept, quoted, settle, ship
 
 BLOCK = 1 << 20
+GROUP_BLOCKS = 4  # stored blocks are read again in batches of whole row groups, so these bound a reader's memory
+TEXTS_AT_ONCE = 256
 END_BITS = 40
 CHARACTERS_AT_ONCE = 1 << 20
 SPACE = "▁"  # fixed value: how a piece writes a space
@@ -203,21 +205,28 @@ def _blocks(spec: str, model: bytes, digest: bool):
         texts: list[str] = []
         size = 0
         for batch in batches:
-            own, start = batch.column(1).to_pylist(), 0
-            for i, text in enumerate(own):
+            start = 0
+            for i, text in enumerate(_strings(batch.column(1))):
                 texts.append(text)
                 size += len(text)
                 if size >= BLOCK:
                     yield block([*keys, batch.column(0)[start : i + 1]], texts)
                     keys, texts, size, start = [], [], 0, i + 1
-            if start < len(own):
+            if start < batch.num_rows:
                 keys.append(batch.column(0)[start:])
         if texts:
             yield block(keys, texts)
+        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
     return encode
 
 
+def _strings(column: pa.Array) -> Iterator[str]:
+    """The strings of a column, made a few at a time: a batch holds far more texts than a block."""
+    for start in range(0, len(column), TEXTS_AT_ONCE):
+        yield from column.slice(start, TEXTS_AT_ONCE).to_pylist()
+
+
 def pair_counts(blocks: DataFrame) -> DataFrame:
     """pair, n (how many texts hold it linked) and best (whether no pair of the same first id has more)."""
     parts_of = blocks.select(F.explode(F.arrays_zip("pairs", "held")).alias("p"))
@@ -257,7 +266,7 @@ def align(docs: DataFrame, spec: str, model: bytes, text: str = "text", key: str
     schema = T.StructType([T.StructField("keys", T.ArrayType(kind))] + [T.StructField(c, T.ArrayType(T._parse_datatype_string(t))) for c, t in (PER_TEXT | PER_BLOCK).items()])
     rows = docs.select(quoted(key).alias("key"), F.coalesce(quoted(text), F.lit("")).alias("text"))
     blocks = rows.mapInArrow(_blocks(spec, model, digest), schema).withColumn("block", F.monotonically_increasing_id())
-    blocks = settle(blocks, "aligned-blocks")
+    blocks = settle(blocks, "aligned-blocks", GROUP_BLOCKS)
     own = blocks.select(F.col("block").alias("of_block"), F.posexplode("pairs").alias("at", "pair"))
     counts = own.join(pair_counts(blocks), "pair").select("of_block", "at", "n", "best")
     out = T.StructType([T.StructField(key, kind)] + [T.StructField(c, T._parse_datatype_string(t)) for c, t in PER_TEXT.items() if c != "n_pairs"])

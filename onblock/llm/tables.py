@@ -17,10 +17,14 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
-    """Writes the rows below the shared folder and reads them again: lost executors cost only what they still had to do."""
+def settle(df: DataFrame, label: str, group_rows: int | None = None) -> DataFrame:
+    """Writes the rows below the shared folder and reads them again: lost executors cost only what they still had to do.
+
+    Readers take up to 4,096 rows of a row group at once, whatever their size; group_rows bounds the row groups of large rows.
+    """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    writer = df.write if group_rows is None else df.write.option("parquet.block.row.count.limit", group_rows)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

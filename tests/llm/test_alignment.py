@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import sentencepiece
 from tokenizers import Tokenizer
 
@@ -103,3 +104,20 @@ def test_bytes_of_all_tokens_come_in_one_step():
     ids, bounds = np.array([1, 2, 3, 1], np.int32), np.array([0, 0, 1, 3, 4, 4])
     assert alignment._written_bytes(ids, bounds, pieces) == [b"", b" a", "\U0001f600".encode(), b" a", b""]
     assert alignment._written_bytes(ids[:0], np.zeros(3, np.int64), pieces) == [b"", b""]
+
+
+def test_stored_blocks_are_read_a_few_at_a_time(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(alignment, "BLOCK", 8)
+    rows = [(i, f"text number {i}") for i in range(40)]
+    monkeypatch.setattr("onblock.llm.tables.fresh_path", lambda _, label: f"{tmp_path}/{label}")
+    found = align(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), SPEC, MODEL)
+    assert found.count() == 40
+    files = list((tmp_path / "aligned-blocks").glob("*.parquet"))
+    groups = [pq.ParquetFile(f).metadata for f in files]
+    sizes = [m.row_group(i).num_rows for m in groups for i in range(m.num_row_groups)]
+    assert sum(sizes) == 40 and max(sizes) <= alignment.GROUP_BLOCKS
+
+
+def test_strings_are_made_a_few_at_a_time():
+    column = pa.array([None if i % 7 == 0 else str(i) for i in range(1000)])
+    assert list(alignment._strings(column)) == column.to_pylist()
