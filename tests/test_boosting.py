@@ -1,5 +1,9 @@
 """Histogram boosting against a plain version that grows one leaf after another on the same bins."""
 
+import shutil
+import threading
+from concurrent.futures import Future
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -224,3 +228,72 @@ def test_rows_of_one_block_do_not_go_through_final_trees(monkeypatch, loss, labe
         reached = through(tree, lambda f: block[1][f][known], known.sum(), tree.cut, lambda x: x == boosting.MISSING)
         got += 0.3 * np.array(tree.value)[reached]
     assert np.allclose(got, want)
+
+
+def test_tasks_that_keep_their_blocks_need_no_job_a_level_and_change_nothing(spark, monkeypatch):
+    sc = spark.sparkContext
+    frame = table(900, 4)
+    frame.loc[::11, "late"] = np.nan
+    one, two = spark.createDataFrame(frame), spark.createDataFrame(table(700, 6))
+    sets = [(one, [Task(LOGISTIC, "late", FEATURES), Task(LOGISTIC, "late", FEATURES[:2])]), (two, [Task(ABSOLUTE, "minutes", FEATURES)])]
+    options = {"rounds": 6, "max_leaves": 9, "block_rows": 200}
+    sc.setJobGroup("kept", "three models")
+    kept = fit_boosted(sets, **options)
+    jobs = len(sc.statusTracker().getJobIdsForGroup("kept"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    monkeypatch.setattr(boosting, "_plain_path", lambda _: None)
+    by_jobs = fit_boosted(sets, **options)
+    assert jobs < 6 * 4
+    for a, b in zip(sum(kept, []), sum(by_jobs, []), strict=True):
+        assert a.start == b.start
+        for one_tree, other in zip(a.trees, b.trees, strict=True):
+            assert one_tree.feature == other.feature and one_tree.cut == other.cut and np.allclose(one_tree.value, other.value, atol=1e-12)
+
+
+def test_sets_too_large_to_keep_and_slow_folders_grow_by_jobs(spark, monkeypatch):
+    df, task = spark.createDataFrame(table(400)), Task(LOGISTIC, "late", FEATURES)
+    grow, ways = boosting._grow, []
+    monkeypatch.setattr(boosting, "_grow", lambda blocks, *rest: (ways.append(type(blocks).__name__), grow(blocks, *rest)))
+    want = fit_boosted([(df, [task])], rounds=2, max_leaves=3, block_rows=399)
+    for name, value in (("KEPT_ROWS", 10), ("SLOW_SECONDS", 0.0)):
+        with monkeypatch.context() as m:
+            m.setattr(boosting, name, value)
+            got = fit_boosted([(df, [task])], rounds=2, max_leaves=3, block_rows=399)
+        assert [t.feature for t in got[0][0].trees] == [t.feature for t in want[0][0].trees]
+    assert ways == ["_Kept", "_Spread", "_Spread"]
+
+
+def test_a_task_that_starts_again_repeats_the_moves_it_missed(tmp_path):
+    frame = table(300, 8)
+    edges = [np.unique(np.nanquantile(frame[f], np.linspace(0.1, 0.9, 9))) for f in FEATURES]
+    block = boosting.pickle.dumps((np.array(binned(frame, edges)), [frame["minutes"].to_numpy()]))
+
+    def driver(folder, at):
+        kept = object.__new__(boosting._Kept)
+        kept.folder, kept.at, kept.n, kept.settled, kept.job = str(folder), at, 1, {}, Future()
+        served = threading.Thread(target=lambda: list(boosting._serving(str(folder))(0, iter([(0, 0, block)]))))
+        served.start()
+        return kept, served
+
+    (tmp_path / "first").mkdir()
+    first, served = driver(tmp_path / "first", 0)
+    model = Boosted(ABSOLUTE, FEATURES, 0.0, 0.3)
+    growing = boosting._Growing(Task(ABSOLUTE, "minutes", FEATURES), 0, 0, [0, 1, 2, 3], edges, model, 7, 12, True, 0.5)
+    boosting._grow(first, [growing], 4)
+    shutil.copytree(tmp_path / "first", tmp_path / "again")
+    again, served_again = driver(tmp_path / "again", first.at)
+    root = boosting.Tree([-1], [0.0], [0], [False], [0], [0], [0.0])
+    one, two = (kept.gathered(boosting._spaced, boosting._listed, [(0, 0, [], root)]) for kept in (first, again))
+    for kept, thread in ((first, served), (again, served_again)):
+        kept._command("end")
+        thread.join(20)
+        assert not thread.is_alive()
+    assert one.keys() == two.keys() and all(np.array_equal(a[2], b[2]) for key in one for a, b in zip(one[key], two[key], strict=True))
+
+
+def test_all_rows_of_a_block_in_several_nodes_keep_their_nodes():
+    bins, y = np.array([[0, 2, 0, 2, 1, 1]], np.uint8), np.array([0.0, 1, 0, 1, 0, 1])
+    tree = boosting.Tree([0, -1, 0, -1, -1], [0.0] * 5, [0, 0, 1, 0, 0], [False] * 5, [1, 0, 3, 0, 0], [2, 0, 4, 0, 0], [])
+    block = (0, bins, [y], [np.zeros(6)], {})
+    (found,) = boosting._histograms([(0, 0, LOGISTIC, [0], tree, [4, 3, 1])])(iter([block]))
+    assert [found[0, node][0, 0, :3].tolist() for node in (1, 3, 4)] == [[2, 0, 0], [0, 2, 0], [0, 0, 2]]
