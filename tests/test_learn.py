@@ -141,3 +141,21 @@ def test_queries_train_all_rounds():
         assert defaults["rounds"] == 300 and defaults["step"] == 0.1
     source = inspect.getsource(catalog)
     assert "rounds" not in source
+
+
+def test_comparison_tells_how_long_the_learners_were_trained(spark, planted, monkeypatch):
+    train, test = planted
+    fit = learn.fit_logistic
+    monkeypatch.setattr(learn, "fit_logistic", lambda rows: (learn.time.sleep(0.5), fit(rows))[1])
+    begun = learn.time.monotonic()
+    booking = learn.fit_booking(train, "flight_id", rounds=2)
+    took = learn.time.monotonic() - begun
+    rows = {r["model"]: r for r in learn.compare_models(train, test, "flight_id", booking, seconds=True).collect()}
+    whole = learn.time.monotonic() - begun
+    assert rows["majority"]["train_seconds"] is None
+    assert rows["boosted trees"]["train_seconds"] == round(booking.seconds, 1) and 0 < booking.seconds <= took
+    assert 0.5 <= rows["logistic regression"]["train_seconds"] <= round(whole, 1)
+    # The query asks for it.
+    monkeypatch.setattr(catalog, "_booking_split", lambda t: (train, test))
+    monkeypatch.setattr(catalog, "_booking", lambda t: booking)
+    assert "train_seconds" in catalog.QUERIES["model_comparison"](catalog.Tables(spark, "only here")).columns
