@@ -297,3 +297,27 @@ def test_all_rows_of_a_block_in_several_nodes_keep_their_nodes():
     block = (0, bins, [y], [np.zeros(6)], {})
     (found,) = boosting._histograms([(0, 0, LOGISTIC, [0], tree, [4, 3, 1])])(iter([block]))
     assert [found[0, node][0, 0, :3].tolist() for node in (1, 3, 4)] == [[2, 0, 0], [0, 2, 0], [0, 0, 2]]
+
+
+@pytest.mark.parametrize("leaves", [2, 31, 40, 90])
+def test_scores_by_masks_equal_the_trees_one_by_one(spark, leaves):
+    frame = table(2500, 9)
+    df = spark.createDataFrame(frame)
+    model = fit_boosted([(df, [Task(LOGISTIC, "late", FEATURES)])], rounds=5, step=0.3, max_leaves=leaves, min_rows=3)[0][0]
+    assert max(t.feature.count(-1) for t in model.trees) > min(leaves, 64) - 8
+    bounds = sorted({(f, t) for tree in model.trees for f, t in zip(tree.feature, tree.threshold, strict=True) if f >= 0})
+    odd = [[t if i == f else 0.0 for i in range(4)] for f, t in bounds] + [[v] * 4 for v in (np.inf, -np.inf, np.nan, None)]
+    rows = spark.createDataFrame([tuple(None if v is None else float(v) for v in row) for row in odd], ", ".join(f"{f} double" for f in FEATURES)).unionByName(df.select(*FEATURES))
+    got = rows.transform(lambda x: model.transform(x, "p")).toPandas()
+    x = got[FEATURES].to_numpy(dtype=float)
+    raw = np.full(len(x), model.start)
+    for tree in model.trees:
+        raw += 0.3 * np.array(tree.value)[boosting._leaf_of(tree, lambda f: x[:, f], len(x), tree.threshold, np.isnan)]
+    assert np.array_equal(got["p"].to_numpy(), boosting._probability(raw))
+
+
+def test_no_tree_is_walked_to_score_a_row(spark, monkeypatch):
+    model = Boosted(ABSOLUTE, ["x"], 1.0, 0.5, [boosting.Tree([0, -1, -1], [2.0] * 3, [0] * 3, [True] * 3, [1, 0, 0], [2, 0, 0], [0.0, 4.0, 6.0]), boosting.Tree([-1], [0.0], [0], [False], [0], [0], [1.0])])
+    monkeypatch.setattr(boosting, "_leaf_of", None)
+    rows = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (None,)], "x double").repartition(1)
+    assert sorted(r["p"] for r in model.transform(rows, "p").collect()) == [3.5, 3.5, 3.5, 4.5]
